@@ -28,21 +28,31 @@ INLINE_ELEMENTS = [
 _ATTRIBUTES = "[^>=]*+(?:=\\s*+(?:\"[^\"]*+\"|'[^']*+')?+[^>=]*+)*+"
 _TAIL = "(?:[\\s/]" + _ATTRIBUTES + ")?+(?:>|\\z)"
 
-RAW_CONTENT = "(?is)<!--.*?(?:-->|\\z)|" + "|".join(
-    f"<{name}{_TAIL}.*?(?:</{name}\\s*+>|\\z)" for name in RAW_ELEMENTS
+
+def _until_close(name: str) -> str:
+    """Everything in front of the element's closing tag, or of the end of the text."""
+    return f"(?:[^<]++|<(?!/{name}\\s*+>))*+"
+
+
+# All patterns begin with "<": a page is mostly text, and one character test
+# skips it.
+RAW_CONTENT = (
+    "(?i)<(?:!--(?:[^-]++|-(?!->))*+(?:-->)?+|"
+    + "|".join(f"{n}{_TAIL}{_until_close(n)}(?:</{n}\\s*+>)?+" for n in RAW_ELEMENTS)
+    + ")"
 )
 BODY = "(?is)<body" + _TAIL + "(.*)"
 BODY_TAG = "(?i)<body[\\s/>]"
 IMAGE = "(?i)<img" + _TAIL
 HAS_IMAGE = "(?i)<img[\\s/>]"
-INLINE_TAG = "(?i)</?(?:" + "|".join(INLINE_ELEMENTS) + ")" + _TAIL
+INLINE_TAG = "(?i)</?+(?:" + "|".join(INLINE_ELEMENTS) + ")" + _TAIL
 HIDDEN_OR_TAG = (
-    "(?is)"
-    + "|".join(f"<{name}{_TAIL}.*?</{name}\\s*+>" for name in HIDDEN_ELEMENTS)
-    + "|</?[a-z]" + _ATTRIBUTES + "(?:>|\\z)"
-    + "|<[!?][^>]*+(?:>|\\z)"
+    "(?i)<(?:"
+    + "|".join(f"{n}{_TAIL}{_until_close(n)}</{n}\\s*+>" for n in HIDDEN_ELEMENTS)
+    + "|/?+[a-z]" + _ATTRIBUTES + "(?:>|\\z)"
+    + "|[!?][^>]*+(?:>|\\z))"
 )
-ATTRIBUTE = "[^\\s\"'<>/=]+\\s*=\\s*(?:\"[^\"]*\"|'[^']*'|[^\\s\"'>][^\\s>]*)"
+ATTRIBUTE = "[^\\s\"'<>/=]++\\s*+=\\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\\s\"'>][^\\s>]*+)"
 
 
 def decode_page(html_bytes: Column, content_type: Column | None = None) -> Column:
@@ -85,63 +95,46 @@ def body_markup(clean_html: Column, implied_body: bool = False) -> Column:
     return F.coalesce(explicit, F.regexp_replace(clean_html, "(?is)^.*</head\\s*+>", ""))
 
 
-def image_tags(markup: Column) -> Column:
-    """All image tags in document order."""
-    return F.regexp_extract_all(markup, F.lit(IMAGE), F.lit(0))
-
+def image_pieces(markup: Column) -> Column:
+    """Markup cut in front of each image tag.
 
-def _attribute(attributes: Column, name: str) -> Column:
-    found = F.get(
-        F.filter(attributes, lambda a: a.rlike(f"(?i)^{name}\\s*=")), F.lit(0)
-    )
-    value = F.regexp_replace(found, "^[^=]*=\\s*", "")
-    return F.when(
-        value.rlike("^[\"']"), F.substring(value, F.lit(2), F.length(value) - 2)
-    ).otherwise(value)
+    The first piece has no image; every other one is a tag, ANCHOR_STOP, and the
+    markup up to the next image.
+    """
+    fenced = F.regexp_replace(markup, IMAGE, f"{ANCHOR_START}$0{ANCHOR_STOP}")
+    return F.split(fenced, ANCHOR_START, -1)
 
 
-def tag_attribute(tag: Column, name: str) -> Column:
-    """Raw value of the first attribute of that name; null when absent."""
-    return _attribute(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), name)
+def _first_attribute(attributes: str, name: str) -> str:
+    """SQL text: raw value of the first attribute of that name; null when absent."""
+    found = f"get(filter({attributes}, a -> a rlike r'(?i)^{name}\\s*='), 0)"
+    return (
+        f"transform(array(regexp_replace({found}, r'^[^=]*=\\s*', '')),"
+        f" v -> if(left(v, 1) in ('\"', '\\''), substring(v, 2, length(v) - 2), v))[0]"
+    )
 
 
-def image_anchors(tags: Column, max_images: int) -> Column:
-    """Array of ``(pos, src, alt, kept)``, one entry per image tag.
+def image_anchors(pieces: str, max_images: int) -> Column:
+    """Array of ``(pos, src, alt, kept)``, one entry per image of the column ``pieces``.
 
     The first ``max_images`` images count; of these, one without a source or
     with an inline ``data:image`` source is skipped.
     """
-
-    def anchor(tag: Column, pos: Column) -> Column:
-        src = tag_attribute(tag, "src")
-        usable = (F.length(src) > 0) & ~src.startswith("data:image")
-        return F.struct(
-            pos.cast("int").alias("pos"),
-            src.alias("src"),
-            F.coalesce(tag_attribute(tag, "alt"), F.lit("")).alias("alt"),
-            ((pos < max_images) & F.coalesce(usable, F.lit(False))).alias("kept"),
-        )
-
-    return F.transform(tags, anchor)
+    pattern = ATTRIBUTE.replace("'", "\\x27")
+    attributes = f"""transform(slice({pieces}, 2, size({pieces}) - 1), piece ->
+        regexp_extract_all(substring_index(piece, '{ANCHOR_STOP}', 1), r'{pattern}', 0))"""
+    values = f"""transform({attributes}, (attrs, pos) -> named_struct('pos', pos,
+        'src', {_first_attribute('attrs', 'src')}, 'alt', coalesce({_first_attribute('attrs', 'alt')}, '')))"""
+    return F.expr(f"""transform({values}, i -> named_struct('pos', i.pos, 'src', i.src, 'alt', i.alt,
+        'kept', i.pos < {max_images} and coalesce(i.src <> '' and not startswith(i.src, 'data:image'), false)))""")
 
 
-def mark_anchors(pieces: Column, anchors: Column) -> Column:
-    """Markup with each kept image as a numbered mark and every other one as its alt text.
-
-    ``pieces`` is the markup split at its image tags.
-    """
-    rest = F.zip_with(
-        anchors,
-        F.slice(pieces, F.lit(2), F.greatest(F.size(anchors), F.lit(0))),
-        lambda a, piece: F.concat(
-            F.when(
-                a["kept"],
-                F.concat(F.lit(ANCHOR_START), a["pos"].cast("string"), F.lit(ANCHOR_STOP)),
-            ).otherwise(F.replace(a["alt"], F.lit("<"), F.lit("&lt;"))),
-            piece,
-        ),
-    )
-    return F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
+def mark_anchors(pieces: str, anchors: str) -> Column:
+    """Markup with each kept image as a numbered mark and every other one as its alt text."""
+    return F.expr(f"""concat({pieces}[0], array_join(
+      zip_with({anchors}, slice({pieces}, 2, size({pieces}) - 1), (i, piece) -> concat(
+        if(i.kept, concat('{ANCHOR_START}', i.pos, '{ANCHOR_STOP}'), replace(i.alt, '<', '&lt;')),
+        substring_index(piece, '{ANCHOR_STOP}', -1))), ''))""")
 
 
 def strip_tags(markup: Column) -> Column:
@@ -149,28 +142,23 @@ def strip_tags(markup: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(markup, INLINE_TAG, ""), HIDDEN_OR_TAG, " ")
 
 
-def context_windows(parts: Column, anchors: Column, max_chars: int) -> Column:
+def context_windows(parts: str, anchors: str, max_chars: int) -> Column:
     """Array of ``(pos, src, alt, before, after)`` from the text split at ANCHOR_START.
 
     The text between two neighbouring marks is the second context of the first
     and the first context of the second.
     """
 
-    def body(part: Column) -> Column:
-        return F.btrim(F.substring_index(part, ANCHOR_STOP, -1))
-
-    def window(previous: Column, current: Column) -> Column:
-        pos = F.substring_index(current, ANCHOR_STOP, 1).try_cast("int")
-        anchor = F.get(anchors, pos)
-        return F.struct(
-            pos.alias("pos"),
-            anchor["src"].alias("src"),
-            anchor["alt"].alias("alt"),
-            F.substring(body(previous), -max_chars, max_chars).alias("before"),
-            F.substring(body(current), 1, max_chars).alias("after"),
-        )
-
-    count = F.greatest(F.size(parts) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(parts, F.lit(1), count), F.slice(parts, F.lit(2), count), window
-    )
+    def body(part: str) -> str:
+        return f"btrim(substring_index({part}, '{ANCHOR_STOP}', -1))"
+
+    anchor = f"get({anchors}, w.pos)"
+    return F.expr(f"""
+      transform(
+        zip_with(slice({parts}, 1, size({parts}) - 1), slice({parts}, 2, size({parts}) - 1),
+          (previous, current) -> named_struct(
+            'pos', try_cast(substring_index(current, '{ANCHOR_STOP}', 1) as int),
+            'before', substring({body('previous')}, -{max_chars}, {max_chars}),
+            'after', substring({body('current')}, 1, {max_chars}))),
+        w -> named_struct('pos', w.pos, 'src', {anchor}.src, 'alt', {anchor}.alt,
+          'before', w.before, 'after', w.after))""")

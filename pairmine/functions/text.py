@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import html.entities
-import string
+import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character that counts as white space.
-WHITESPACE = "[\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
+WHITESPACE = "[\\s\\p{Z}\\x1c\\x1d\\x1e\\x1f\\x85]+"
+# The 32 ASCII punctuation marks.
+PUNCTUATION = "\\p{Punct}+"
 WORD = "[\\p{L}\\p{N}_]+"
-TOKEN = "[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\x09-\\x0d\\x1c-\\x20\\x85\\xa0]"
+TOKEN = "[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s\\p{Z}\\x1c\\x1d\\x1e\\x1f\\x85]"
 ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 
 
@@ -23,7 +25,7 @@ def collapse_whitespace(text: Column) -> Column:
 def normalize_text(text: Column) -> Column:
     """Loose-match form: lower case, no ASCII punctuation, single blanks; null gives ''."""
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    return collapse_whitespace(F.translate(lowered, string.punctuation, ""))
+    return collapse_whitespace(F.regexp_replace(lowered, PUNCTUATION, ""))
 
 
 def word_count(text: Column) -> Column:
@@ -31,6 +33,12 @@ def word_count(text: Column) -> Column:
     return F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
 
 
+def has_words(text: Column, count: int) -> Column:
+    """At least ``count`` word runs; reads no further than it must."""
+    other, word = "[^\\p{L}\\p{N}_]*+", "[\\p{L}\\p{N}_]++"
+    return text.rlike(f"^{other}(?:{word}{other}){{{count}}}+")
+
+
 def tokenize(text: Column) -> Column:
     """Lower-cased word runs and single other characters, in order."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
@@ -43,7 +51,7 @@ def hash_ids(tokens: Column, first_id: int, buckets: int) -> Column:
     )
 
 
-def _named_characters() -> Column:
+def _named_characters() -> str:
     # The names come from the standard library's table; code points 128 to 159
     # mean their windows-1252 characters.
     pairs = {
@@ -54,40 +62,28 @@ def _named_characters() -> Column:
         char = bytes([point]).decode("cp1252", errors="ignore")
         if char:
             pairs[f"#{point}"] = char
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
-
-
-def _character(point: Column) -> Column:
-    plain = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
-    return (
-        F.when(point == 38, F.lit("&amp;"))
-        .when((point < 9) | point.between(0xFDD0, 0xFDEF), F.lit(""))
-        .when((point > 0x10FFFF) | point.between(0xD800, 0xDFFF), F.lit("\ufffd"))
-        .otherwise(plain)
-    )
+    quoted = ("'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for p in pairs.items() for x in p)
+    return f"map({', '.join(quoted)})"
 
 
-def _entity_value(entity: Column) -> Column:
-    name = F.substring(entity, F.lit(2), F.length(entity) - 2)
-    hexadecimal = F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10).cast("bigint")
-    decimal = F.substring(name, F.lit(2), F.length(name)).try_cast("bigint")
-    numeric = F.when(name.rlike("^#[xX]"), hexadecimal).otherwise(decimal)
-    named = F.try_element_at(_named_characters(), name)
-    return F.coalesce(named, F.when(name.startswith("#"), _character(numeric)), entity)
+def decode_entities(column: str) -> Column:
+    """Replace the character references in the text column of that name.
 
-
-def decode_entities(text: Column) -> Column:
-    """Replace character references.
-
-    One pass collects the distinct references of the text, one replacement each
+    One pass collects the distinct references of a text, one replacement each
     resolves them.  Everything that yields an ampersand is resolved last, so
-    that no reference is decoded twice.  ``text`` occurs three times in the
-    expression: pass a computed column, not a long expression.
+    that no reference is decoded twice.
     """
-    references = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
-    decoded = F.aggregate(
-        references, text, lambda acc, entity: F.replace(acc, entity, _entity_value(entity))
-    )
-    return F.when(F.contains(text, F.lit("&")), F.replace(decoded, F.lit("&amp;"), F.lit("&"))).otherwise(
-        text
-    )
+    point = """if(name rlike '^#[xX]', cast(conv(substring(name, 3), 16, 10) as bigint),
+        try_cast(substring(name, 2) as bigint))"""
+    numeric = f"""transform(array({point}), n -> case
+        when n = 38 then '&amp;'
+        when n < 9 or n between 64976 and 65007 then ''
+        when n > 1114111 or n between 55296 and 57343 then '\ufffd'
+        else decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32') end)[0]"""
+    value = f"""transform(array(substring(e, 2, length(e) - 2)), name -> coalesce(
+        try_element_at({_named_characters()}, name), if(startswith(name, '#'), {numeric}, null), e))[0]"""
+    references = f"array_distinct(regexp_extract_all({column}, r'{ENTITY}', 0))"
+    return F.expr(f"""
+      case when contains({column}, '&') then replace(
+        aggregate({references}, {column}, (text, e) -> replace(text, e, {value})), '&amp;', '&')
+      else {column} end""")

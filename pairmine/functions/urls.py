@@ -1,121 +1,74 @@
-"""URL expressions: resolution against a page, fetchability, asset file names."""
+"""URL expressions: resolution against a page, fetchability, asset file names.
+
+They take column names and are written as SQL text: one expression each, with
+the parts of a URL computed once in a struct.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SCHEME = "^([a-zA-Z][a-zA-Z0-9+.-]*):"
-_AUTHORITY = "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)"
-_PATH = "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
-_QUERY = "^[^?#]*\\?([^#]*)"
-_FRAGMENT = "#([\\s\\S]*)$"
+_SCHEME = "[a-zA-Z][a-zA-Z0-9+.-]*"
 # Schemes whose references may be relative.
-_RELATIVE_SCHEMES = ["http", "https", "ftp", "file", "sftp", "ws", "wss"]
-
-
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it many times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _components(url: Column) -> Column:
-    return F.struct(
-        F.lower(F.regexp_extract(url, _SCHEME, 1)).alias("scheme"),
-        F.regexp_extract(url, _AUTHORITY, 1).alias("authority"),
-        F.regexp_extract(url, _PATH, 1).alias("path"),
-        F.regexp_extract(url, _QUERY, 1).alias("query"),
-        F.regexp_extract(url, _FRAGMENT, 1).alias("fragment"),
-    )
-
-
-def _assemble(scheme, authority, path, query, fragment) -> Column:
-    rooted = F.when(
-        (authority != "") & (path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)
-    ).otherwise(path)
-    return F.concat(
-        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
-        F.when(authority != "", F.concat(F.lit("//"), authority)).otherwise(""),
-        rooted,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-        F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""),
-    )
-
-
-def _merged_segments(base_path: Column, path: Column) -> Column:
-    """Segments of a relative path below the folder of the base path, without empty inner ones."""
-    folder = F.regexp_replace(base_path, "[^/]*$", "")
-    joined = F.concat(folder, path)
-    return F.split(F.regexp_replace(joined, "(?<=.)/{2,}", "/"), "/")
-
-
-def _remove_dots(segments: Column) -> Column:
-    resolved = F.aggregate(
-        segments,
-        F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(s == ".", acc)
-        .otherwise(F.concat(acc, F.array(s))),
-    )
-    trailing = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(
-        F.array().cast("array<string>")
-    )
-    path = F.array_join(F.concat(resolved, trailing), "/")
-    return F.when(path == "", F.lit("/")).otherwise(path)
-
-
-def resolve_url(page_url: Column, src: Column) -> Column:
-    """Absolute URL of ``src`` on the page ``page_url``.
+_RELATIVE = "('http', 'https', 'ftp', 'file', 'sftp', 'ws', 'wss')"
+
+
+def _parts(url: str) -> str:
+    return rf"""named_struct(
+      'scheme', lower(regexp_extract({url}, r'^({_SCHEME}):', 1)),
+      'authority', regexp_extract({url}, r'^(?:{_SCHEME}:)?//([^/?#]*)', 1),
+      'path', regexp_extract({url}, r'^(?:{_SCHEME}:)?(?://[^/?#]*)?([^?#]*)', 1),
+      'query', regexp_extract({url}, r'^[^?#]*\?([^#]*)', 1),
+      'fragment', regexp_extract({url}, r'#([\s\S]*)$', 1))"""
+
+
+def url_parts(url: str) -> Column:
+    """Struct of scheme, authority, path, query and fragment; absent parts are empty."""
+    return F.expr(_parts(url))
+
+
+def _assemble(authority: str, path: str, query: str) -> str:
+    """Base scheme, authority, path, query and the reference's fragment; empty parts vanish."""
+    return rf"""concat(
+        if(u.base.scheme = '', '', concat(u.base.scheme, ':')),
+        if({authority} = '', '', concat('//', {authority})),
+        if({authority} <> '' and {path} <> '' and not startswith({path}, '/'), '/', ''), {path},
+        if({query} = '', '', concat('?', {query})),
+        if(u.ref.fragment = '', '', concat('#', u.ref.fragment)))"""
+
+
+def resolve_url(page_url: str, src: str, page_parts: str | None = None) -> Column:
+    """Absolute URL of the reference in ``src`` on the page in ``page_url``.
 
     Takes absolute, ``//host``, ``/root`` and relative references, dot segments,
     query-only and fragment-only references.  It never fails: characters that a
-    strict URL parser refuses are kept.
+    strict URL parser refuses are kept.  ``page_parts`` names a column that
+    already holds the page's ``url_parts``.
     """
-    cleaned = F.regexp_replace(F.regexp_replace(src, "^[\\x00-\\x20]+", ""), "[\\t\\r\\n]", "")
-
-    def resolve(pair: Column) -> Column:
-        base, ref = pair["base"], pair["ref"]
-        foreign = (ref["scheme"] != "") & (
-            (ref["scheme"] != base["scheme"]) | ~ref["scheme"].isin(_RELATIVE_SCHEMES)
-        )
-        segments = F.when(ref["path"].startswith("/"), F.split(ref["path"], "/")).otherwise(
-            _merged_segments(base["path"], ref["path"])
-        )
-        return (
-            F.when(pair["raw"] == "", pair["page"])
-            .when(foreign | ((ref["scheme"] == "") & ~base["scheme"].isin(_RELATIVE_SCHEMES + [""])), pair["raw"])
-            .when(
-                ref["authority"] != "",
-                _assemble(base["scheme"], ref["authority"], ref["path"], ref["query"], ref["fragment"]),
-            )
-            .when(
-                ref["path"] == "",
-                _assemble(
-                    base["scheme"],
-                    base["authority"],
-                    base["path"],
-                    F.when(ref["query"] == "", base["query"]).otherwise(ref["query"]),
-                    ref["fragment"],
-                ),
-            )
-            .otherwise(
-                _assemble(
-                    base["scheme"],
-                    base["authority"],
-                    _let(segments, _remove_dots),
-                    ref["query"],
-                    ref["fragment"],
-                )
-            )
-        )
-
-    pair = F.struct(
-        page_url.alias("page"),
-        cleaned.alias("raw"),
-        _components(page_url).alias("base"),
-        _components(cleaned).alias("ref"),
-    )
-    return F.when(page_url.isNull() | (page_url == ""), src).otherwise(_let(pair, resolve))
+    raw = rf"regexp_replace(regexp_replace({src}, r'^[\x00-\x20]+', ''), r'[\t\r\n]', '')"
+    urls = rf"""transform(array({raw}), raw -> named_struct('page', {page_url}, 'raw', raw,
+        'base', {page_parts or _parts(page_url)}, 'ref', {_parts('raw')}))"""
+    # Below the folder of the page; empty segments inside a relative path vanish.
+    segments = r"""if(startswith(u.ref.path, '/'), split(u.ref.path, '/', -1),
+        split(regexp_replace(concat(regexp_replace(u.base.path, r'[^/]*$', ''), u.ref.path),
+          r'(?<=.)/{2,}', '/'), '/', -1))"""
+    without_dots = f"""transform(array({segments}), s -> concat(
+        aggregate(s, cast(array() as array<string>), (kept, x) -> case x
+          when '..' then slice(kept, 1, greatest(size(kept) - 1, 0))
+          when '.' then kept else concat(kept, array(x)) end),
+        if(element_at(s, -1) in ('.', '..'), array(''), cast(array() as array<string>))))[0]"""
+    path = f"transform(array(array_join({without_dots}, '/')), p -> if(p = '', '/', p))[0]"
+    joined = f"transform(array({path}), q -> {_assemble('u.base.authority', 'q', 'u.ref.query')})[0]"
+    base_query = "if(u.ref.query = '', u.base.query, u.ref.query)"
+    return F.expr(rf"""
+      case when coalesce({page_url}, '') = '' then {src} else transform({urls}, u -> case
+        when u.raw = '' then u.page
+        when u.ref.scheme <> '' and (u.ref.scheme <> u.base.scheme or u.ref.scheme not in {_RELATIVE}) then u.raw
+        when u.ref.scheme = '' and u.base.scheme <> '' and u.base.scheme not in {_RELATIVE} then u.raw
+        when u.ref.authority <> '' then {_assemble('u.ref.authority', 'u.ref.path', 'u.ref.query')}
+        when u.ref.path = '' then {_assemble('u.base.authority', 'u.base.path', base_query)}
+        else {joined} end)[0] end""")
 
 
 def is_fetchable(url: Column) -> Column:
@@ -123,7 +76,7 @@ def is_fetchable(url: Column) -> Column:
     return F.coalesce(url.startswith("http://") | url.startswith("https://"), F.lit(False))
 
 
-def asset_name(url: Column) -> Column:
+def asset_name(url: str) -> Column:
     """File name of a fetched image.
 
     The last path segment with everything but letters, digits, dot and
@@ -131,15 +84,11 @@ def asset_name(url: Column) -> Column:
     an extension, ``.jpg``.  The URL's hash goes in front, so that equal
     segments of different URLs do not meet.
     """
-    digest = F.sha2(url, 256)
-    segment = F.regexp_extract(F.regexp_extract(url, _PATH, 1), "([^/]*)$", 1)
-    safe = F.regexp_replace(segment, "[^\\p{L}\\p{N}._]", "_")
-
-    def name(s: Column) -> Column:
-        return (
-            F.when((s == "") | s.startswith("."), F.concat(F.lit("image_"), F.substring(digest, 1, 16), F.lit(".jpg")))
-            .when(~F.contains(s, F.lit(".")), F.concat(s, F.lit(".jpg")))
-            .otherwise(s)
-        )
-
-    return F.concat(F.substring(digest, 1, 16), F.lit("_"), _let(safe, name))
+    path = rf"regexp_extract({url}, r'^(?:{_SCHEME}:)?(?://[^/?#]*)?([^?#]*)', 1)"
+    safe = rf"regexp_replace(regexp_extract({path}, r'([^/]*)$', 1), r'[^\p{{L}}\p{{N}}._]', '_')"
+    return F.expr(rf"""
+      transform(array(named_struct('hash', left(sha2({url}, 256), 16), 'name', {safe})), n -> concat(
+        n.hash, '_', case
+          when n.name = '' or startswith(n.name, '.') then concat('image_', n.hash, '.jpg')
+          when not contains(n.name, '.') then concat(n.name, '.jpg')
+          else n.name end))[0]""")

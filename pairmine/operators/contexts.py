@@ -23,7 +23,7 @@ def alt_in_context(
 
 
 def enough_words(before: Column, after: Column, min_words: int) -> Column:
-    return text.word_count(F.concat(before, F.lit(" "), after)) >= min_words
+    return text.has_words(F.concat(before, F.lit(" "), after), min_words)
 
 
 def anchored_pages(
@@ -42,18 +42,15 @@ def anchored_pages(
     markup_body = bodies.withColumn(
         "body", markup.body_markup(F.col("clean"), implied_body)
     ).drop("clean")
-    tagged = markup_body.withColumn(
-        "anchors", markup.image_anchors(markup.image_tags(F.col("body")), max_images)
-    ).withColumn("pieces", F.split("body", markup.IMAGE, -1))
-    return tagged.withColumn(
-        "marked", markup.mark_anchors(F.col("pieces"), F.col("anchors"))
-    ).drop("body", "pieces")
+    pieces = markup_body.withColumn("pieces", markup.image_pieces(F.col("body"))).drop("body")
+    anchored = pieces.withColumn("anchors", markup.image_anchors("pieces", max_images))
+    return anchored.withColumn("marked", markup.mark_anchors("pieces", "anchors")).drop("pieces")
 
 
 def page_texts(anchored: DataFrame) -> DataFrame:
     """Adds ``page_text``: visible text of the body, with the image marks in it."""
     stripped = anchored.withColumn("stripped", markup.strip_tags(F.col("marked"))).drop("marked")
-    decoded = stripped.withColumn("decoded", text.decode_entities(F.col("stripped")))
+    decoded = stripped.withColumn("decoded", text.decode_entities("stripped"))
     return decoded.withColumn(
         "page_text", text.collapse_whitespace(F.col("decoded"))
     ).drop("stripped", "decoded")
@@ -67,7 +64,7 @@ def image_windows(
         "parts", F.split("page_text", markup.ANCHOR_START, -1)
     ).drop("page_text")
     windows = parts.withColumn(
-        "windows", markup.context_windows(F.col("parts"), F.col("anchors"), max_context_chars)
+        "windows", markup.context_windows("parts", "anchors", max_context_chars)
     )
     # The outer form: the plain one would make the optimizer test the array's
     # size in a copy of the whole expression below.
@@ -99,21 +96,23 @@ def extract_contexts(
     Adds ``img_pos, image_url, alt_text, context_before, context_after,
     found_alt_in_context``; the origin columns pass through.  No shuffle.
     """
-    anchored = anchored_pages(pages, max_images, implied_body)
+    anchored = anchored_pages(pages, max_images, implied_body).withColumn(
+        "page_parts", urls.url_parts("page_url")
+    )
     windows = image_windows(page_texts(anchored), max_context_chars)
     before, after = F.col("context_before"), F.col("context_after")
     enough = windows.filter(enough_words(before, after, min_context_words))
     decoded = enough.withColumns(
         {
-            "src": text.decode_entities(F.col("src")),
-            "alt_text": text.decode_entities(F.col("raw_alt")),
+            "src": text.decode_entities("src"),
+            "alt_text": text.decode_entities("raw_alt"),
         }
     ).drop("raw_alt")
     return decoded.withColumns(
         {
-            "image_url": urls.resolve_url(F.col("page_url"), F.col("src")),
+            "image_url": urls.resolve_url("page_url", "src", "page_parts"),
             "found_alt_in_context": alt_in_context(
                 F.col("alt_text"), before, after, min_alt_chars
             ),
         }
-    ).drop("src")
+    ).drop("src", "page_parts")

@@ -55,7 +55,7 @@ def admit_assets(
     judged = joined.withColumn("reject_reason", asset_reject_reason(**limits))
     return judged.withColumn(
         "image_local_path",
-        F.when(F.col("reject_reason").isNull(), urls.asset_name(F.col("image_url"))),
+        F.when(F.col("reject_reason").isNull(), urls.asset_name("image_url")),
     )
 
 

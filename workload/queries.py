@@ -109,7 +109,7 @@ def resolve_url(spark, sf):
         F.col("url").alias("page_url"),
         F.explode(F.array(*[F.lit(r) for r in ad.REFERENCES])).alias("src"),
     )
-    return refs.withColumn("image_url", urls.resolve_url(F.col("page_url"), F.col("src")))
+    return refs.withColumn("image_url", urls.resolve_url("page_url", "src"))
 
 
 def anchor_segments(spark, sf):
@@ -448,7 +448,7 @@ def url_admission(spark, sf):
 
 def asset_name(spark, sf):
     found = resolve_url(spark, sf).select("image_url").distinct()
-    return found.withColumn("asset", urls.asset_name(F.col("image_url")))
+    return found.withColumn("asset", urls.asset_name("image_url"))
 
 
 def asset_admission(spark, sf):
