@@ -55,12 +55,15 @@ def _quartiles(long: DataFrame) -> DataFrame:
 
 
 def correlation(results: DataFrame) -> DataFrame:
-    """Pearson correlation of each confidence with the score."""
+    """Pearson correlation of each confidence with the score; null where one is constant."""
     pairs = F.array(
         *[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in CONFIDENCES]
     )
     long = results.select("clip_score", F.inline(pairs))
-    return long.groupBy("measure").agg(F.corr("value", "clip_score").alias("pearson"))
+    both = long.filter(F.col("value").isNotNull() & F.col("clip_score").isNotNull())
+    spread = F.stddev_pop("value") * F.stddev_pop("clip_score")
+    pearson = F.try_divide(F.covar_pop("value", "clip_score"), spread)
+    return both.groupBy("measure").agg(pearson.alias("pearson"))
 
 
 def _bin(value: Column, low: float, high: float, bins: int) -> Column:

@@ -42,14 +42,29 @@ def dedup_contexts(contexts: DataFrame) -> DataFrame:
     return first_per_key(with_context_id(contexts), "context_id", INSERTION_ORDER)
 
 
-def insert_new(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Rows of a key-unique batch whose key is not stored yet.  Reads only the stored keys."""
-    return batch.join(stored.select(key), key, "left_anti")
+def insert_new(
+    batch: DataFrame, stored: DataFrame, key: str, batch_rows: int | None = None
+) -> DataFrame:
+    """Rows of a key-unique batch whose key is not stored yet.  Reads only the stored keys.
 
+    With ``batch_rows`` known to be small, 64-bit hashes of the batch's keys are
+    broadcast first, and only the stored keys that share one are shuffled: a
+    small batch costs a scan of the key column, not a shuffle of it.
+    """
+    known = stored.select(key)
+    if batch_rows is not None and batch_rows <= settings.BROADCAST_ROW_LIMIT:
+        hashes = batch.select(F.xxhash64(key).alias("_hash"))
+        known = known.join(
+            F.broadcast(hashes), F.xxhash64(known[key]) == F.col("_hash"), "left_semi"
+        )
+    return batch.join(known, key, "left_anti")
 
-def insert_contexts(contexts: DataFrame, stored: DataFrame) -> DataFrame:
+
+def insert_contexts(
+    contexts: DataFrame, stored: DataFrame, batch_rows: int | None = None
+) -> DataFrame:
     """Insert-or-ignore: the new rows of a batch, deduplicated, against the stored table."""
-    return insert_new(dedup_contexts(contexts), stored, "context_id")
+    return insert_new(dedup_contexts(contexts), stored, "context_id", batch_rows)
 
 
 def to_context_rows(kept: DataFrame, mode: str = "inference") -> DataFrame:

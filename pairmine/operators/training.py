@@ -190,7 +190,7 @@ def train_span_model(
     ``train`` and ``validation`` are padded examples; write them (or checkpoint
     them) first, for every run reads them again.
     """
-    vectors = feature_vectors(position_rows(train, buckets), buckets)
+    vectors = feature_vectors(position_rows(train, buckets), buckets).persist()
     models, rows = {}, []
     for reg_param in reg_params:
         run = f"reg={reg_param}"
@@ -203,6 +203,7 @@ def train_span_model(
             last = max(len(history) - 1, 0)
             for name, value in evaluate(model, validation, max_len).items():
                 rows.append((run, last, f"val_{name}", float(value)))
+    vectors.unpersist()
     history = spark.createDataFrame(rows, METRIC_HISTORY)
     metric = monitor if validation is not None else "loss"
     best = select_best_run(history, metric, patience=patience).first()["run_id"]

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pairmine import settings
 from pairmine.operators import contexts, pages, store
+from pairmine.session import stage
 from pairmine.sources import tables, warc
 
 
@@ -17,6 +17,17 @@ def contexts_of_records(records: DataFrame, **limits) -> DataFrame:
     return contexts.extract_contexts(decoded, **limits)
 
 
+def new_contexts(found: DataFrame, root: str, batch: str) -> DataFrame:
+    """Deduplicated contexts that no other batch of the table holds.
+
+    The deduplicated contexts are staged, so pages are parsed once whatever
+    happens later, and their number decides how the stored keys are looked up.
+    """
+    staged = stage(store.dedup_contexts(found), "contexts")
+    stored = tables.read_table(found.sparkSession, root, "image_context", without_batch=batch)
+    return store.insert_new(staged, stored, "context_id", staged.count())
+
+
 def extract_archives(
     spark: SparkSession,
     archives: str,
@@ -38,8 +49,7 @@ def extract_archives(
         F.count_if(pages.is_admitted()).alias("html_responses"),
         F.count_if(pages.is_admitted() & (F.length("html_bytes") > 0)).alias("parsed_pages"),
     )
-    stored = tables.read_table(spark, root, "image_context", without_batch=batch)
-    new = store.insert_contexts(contexts_of_records(records, **limits), stored)
+    new = new_contexts(contexts_of_records(records, **limits), root, batch)
     rows = store.to_context_rows(new, mode).observe(
         added,
         F.count(F.lit(1)).alias("contexts_added"),

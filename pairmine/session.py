@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
@@ -31,12 +31,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[application]
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable without overriding the cluster's setting."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(shared_dir(spark), "checkpoints"))
-
-
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For an expensive result that several later steps read: it is computed once,
+    survives lost executors, and later steps read only the columns they need.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,8 @@
 
 One partition per archive: archives are written in sizes meant for one worker,
 and compressed ones can only be read from the start.  A task streams its archive
-and never holds more than one batch of it.
+and never holds more than one batch of it.  The records of an archive far above
+the usual size are spread over further tasks before any page is parsed.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from pairmine.schemas import CRAWL_RECORD
 
 # Recognised file endings, compared in lower case.
 SUFFIXES = (".warc", ".warc.gz")
+# An archive above this size is spread, into tasks of about SPREAD_BYTES each.
+SPREAD_ABOVE = 4 << 30
+SPREAD_BYTES = 256 << 20
 _BATCH_BYTES = 8 << 20
 
 
@@ -28,22 +32,21 @@ def _is_archive(name: str) -> bool:
     return name.lower().endswith(SUFFIXES)
 
 
-def archive_paths(path: str, recursive: bool = False) -> list[str]:
-    """Archives at ``path`` (a file or a folder), sorted."""
+def archives(path: str, recursive: bool = False) -> list[tuple[str, int]]:
+    """Archives at ``path`` (a file or a folder) with their sizes, sorted."""
     filesystem, root = _locate(path)
     info = filesystem.get_file_info(root)
     if info.type == fs.FileType.File:
-        return [path]
+        return [(path, info.size)]
     if info.type != fs.FileType.Directory:
         raise FileNotFoundError(path)
     entries = filesystem.get_file_info(fs.FileSelector(root, recursive=recursive))
     prefix = path.rstrip("/")
-    found = (
-        prefix + e.path[len(root.rstrip("/")):]
+    return sorted(
+        (prefix + e.path[len(root.rstrip("/")):], e.size)
         for e in entries
         if e.type == fs.FileType.File and _is_archive(e.base_name)
     )
-    return sorted(found)
 
 
 def _locate(path: str) -> tuple[fs.FileSystem, str]:
@@ -182,12 +185,18 @@ class _ArchiveReader(DataSourceReader):
         self._path = options["path"]
         self._recursive = options.get("recursive", "false").lower() == "true"
         self._html_only = options.get("htmlonly", "true").lower() == "true"
+        self._above = int(options.get("bytesabove", -1))
+        self._upto = int(options.get("bytesupto", 1 << 62))
 
     def partitions(self):
-        return [_ArchivePartition(p) for p in archive_paths(self._path, self._recursive)]
+        return [
+            _ArchivePartition(path)
+            for path, size in archives(self._path, self._recursive)
+            if self._above < size <= self._upto
+        ]
 
     def read(self, partition):
-        if partition is not None and getattr(partition, "path", None):
+        if getattr(partition, "path", None):
             yield from read_archive(partition.path, self._html_only)
 
 
@@ -206,12 +215,30 @@ class WarcDataSource(DataSource):
 
 
 def read_warc(
-    spark: SparkSession, path: str, recursive: bool = False, html_only: bool = True
+    spark: SparkSession,
+    path: str,
+    recursive: bool = False,
+    html_only: bool = True,
+    spread_above: int = SPREAD_ABOVE,
 ) -> DataFrame:
-    """Response records of all archives at ``path``."""
+    """Response records of all archives at ``path``.
+
+    Archives of up to ``spread_above`` bytes are parsed by the task that reads
+    them.  The records of larger ones are shuffled first, because reading an
+    archive is a small part of the work and parsing its pages the large one.
+    """
     spark.dataSource.register(WarcDataSource)
-    reader = spark.read.format("warc").option("recursive", str(recursive).lower())
-    return reader.option("htmlOnly", str(html_only).lower()).load(path)
+
+    def load(**sizes) -> DataFrame:
+        reader = spark.read.format("warc").option("recursive", str(recursive).lower())
+        return reader.option("htmlOnly", str(html_only).lower()).options(**sizes).load(path)
+
+    large = sum(size for _, size in archives(path, recursive) if size > spread_above)
+    usual = load(bytesUpTo=spread_above)
+    if not large:
+        return usual
+    tasks = -(-large // SPREAD_BYTES)
+    return usual.unionByName(load(bytesAbove=spread_above).repartition(tasks, "record_offset"))
 
 
 def records_of(paths: DataFrame, html_only: bool = True) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pairmine import schemas
 from pairmine.operators import store
 from pairmine.operators.skew import hot_keys
-from pairmine.plans import enrich
+from pairmine.plans import enrich, extract
 from pairmine.sources import tables
 
 
@@ -42,8 +42,7 @@ def stream_contexts(
 
     def write(batch: DataFrame, epoch: int) -> None:
         label = f"{name}-{epoch:09d}"
-        stored = tables.read_table(batch.sparkSession, root, "image_context", without_batch=label)
-        new = store.insert_contexts(batch, stored)
+        new = extract.new_contexts(batch, root, label)
         tables.write_batch(store.to_context_rows(new, mode), root, "image_context", label)
 
     return _start(found, root, name, write)

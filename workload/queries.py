@@ -20,7 +20,6 @@ from pairmine.operators import (
     training,
     vocabulary,
 )
-from pairmine.plans.predict import inference_inputs
 from pairmine.session import work_path
 from pairmine.sources import images, tables, warc
 from pairmine.streaming import incremental
@@ -354,28 +353,28 @@ def select_best_run(spark, sf):
     return best.withColumn("selected", F.col("run_id") == winner.select("run_id").scalar())
 
 
-def _simple_scorer():
-    """A model stand-in: logits from token ids alone, to drive the batch hook."""
+def _arithmetic_scorer():
+    """A model stand-in: logits are arithmetic on the token ids, so SQL can follow."""
 
     def predict(input_ids, attention_mask):
         import numpy as np
 
         ids = np.asarray(input_ids, dtype=np.int64)
         return {
-            "start_logits": ((ids * 7919) % 1009 / 100.0).astype(np.float32),
-            "end_logits": ((ids * 104729) % 1013 / 100.0).astype(np.float32),
+            "start_logits": ((ids * 7919) % 1009 / 128.0).astype(np.float32),
+            "end_logits": ((ids * 104729) % 1013 / 128.0).astype(np.float32),
         }
 
     return predict
 
 
 def batch_predict(spark, sf):
-    texts = ad.doc_texts(spark, sf).withColumn("context_id", F.col("context_id").cast("string"))
-    inputs = inference_inputs(texts, ad.MAX_LEN, 50)
-    scored = prediction.predict_logits(inputs, _simple_scorer, ad.MAX_LEN)
-    return prediction.decode_predictions(scored).select(
+    inputs = encoding.inference_inputs(ad.encoded_texts(spark, sf), ad.MAX_LEN, 50)
+    scored = prediction.predict_logits(inputs, _arithmetic_scorer, ad.MAX_LEN)
+    found = prediction.decode_predictions(scored).select(
         "context_id", "predicted_text", "start_token", "end_token", "span_confidence"
     )
+    return _rounded(found, "span_confidence")
 
 
 def span_argmax(spark, sf):
@@ -481,33 +480,35 @@ def enrich_counters(spark, sf):
 # --- analysis --------------------------------------------------------------
 
 
+def _pairs(spark, sf):
+    """The ranked pairs as the report reads them: written once."""
+    return ad.written(spark, sf, "pairs", lambda: _ranked(spark, sf))
+
+
 def result_preview(spark, sf):
-    scores = ad.results(spark, sf).withColumn("clip_score", F.round("clip_score", 6))
-    return report.preview(
-        store.final_results(ad.predictions(spark, sf), ad.stored_contexts(spark, sf), scores)
-    )
+    return report.preview(_rounded(_pairs(spark, sf), "clip_score"))
 
 
 def score_summary(spark, sf):
     numbers = ["mean", "stddev", "min", "max", "q1", "median", "q3"]
-    return _rounded(report.summary(_ranked(spark, sf)), *numbers)
+    return _rounded(report.summary(_pairs(spark, sf)), *numbers)
 
 
 def score_correlation(spark, sf):
-    return _rounded(report.correlation(_ranked(spark, sf)), "pearson")
+    return _rounded(report.correlation(_pairs(spark, sf)), "pearson")
 
 
 def score_histogram(spark, sf):
-    return report.histogram(_ranked(spark, sf))
+    return report.histogram(_pairs(spark, sf))
 
 
 def score_boxplot(spark, sf):
     numbers = ["q1", "median", "q3", "whisker_low", "whisker_high"]
-    return _rounded(report.boxplot(_ranked(spark, sf)), *numbers)
+    return _rounded(report.boxplot(_pairs(spark, sf)), *numbers)
 
 
 def score_heatmap(spark, sf):
-    return report.heatmap(_ranked(spark, sf))
+    return report.heatmap(_pairs(spark, sf))
 
 
 # --- incremental -----------------------------------------------------------
