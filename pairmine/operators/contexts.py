@@ -33,12 +33,16 @@ def anchored_pages(
 ) -> DataFrame:
     """Pages with ``anchors`` (one entry per image) and ``marked`` (markup with image marks).
 
-    Pages without any image tag are dropped before a regular expression touches
-    the rest of them.  Each step is its own projection, because a column that
-    the next one uses more than once must be computed only once.
+    Both are null for a page without an image tag or a body: such a page is not
+    touched by any further expression, and gives no row later.  It is not
+    filtered out here, because the optimizer would push the filter down and with
+    it a second copy of whatever made ``html``.  Each step is its own
+    projection, because a column that the next one uses more than once must be
+    computed only once.
     """
-    with_images = pages.filter(F.col("html").rlike(markup.HAS_IMAGE))
-    bodies = with_images.withColumn("clean", markup.drop_raw_content(F.col("html"))).drop("html")
+    has_image = F.col("html").rlike(markup.HAS_IMAGE)
+    clean = F.when(has_image, markup.drop_raw_content(F.col("html")))
+    bodies = pages.withColumn("clean", clean).drop("html")
     markup_body = bodies.withColumn(
         "body", markup.body_markup(F.col("clean"), implied_body)
     ).drop("clean")
@@ -48,7 +52,7 @@ def anchored_pages(
 
 
 def page_texts(anchored: DataFrame) -> DataFrame:
-    """Adds ``page_text``: visible text of the body, with the image marks in it."""
+    """Adds ``page_text``: visible text of the body, with the image marks in it, or null."""
     stripped = anchored.withColumn("stripped", markup.strip_tags(F.col("marked"))).drop("marked")
     decoded = stripped.withColumn("decoded", text.decode_entities("stripped"))
     return decoded.withColumn(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairmine import settings
 from pairmine.functions import text
 from pairmine.operators.skew import salted_join
+from pairmine.session import stage
 
 # Ids of the special tokens; corpus tokens follow.
 PAD_ID = 0
@@ -54,8 +55,12 @@ def number_tokens(counts: DataFrame) -> DataFrame:
 
 
 def build_vocabulary(df: DataFrame, text_columns: list[str]) -> DataFrame:
-    """Vocabulary of a corpus.  Write it before encoding: encoding reads it more than once."""
-    return number_tokens(token_counts(df, text_columns))
+    """Vocabulary of a corpus.
+
+    The token counts are staged: numbering reads them twice, the corpus is read
+    once.  Write the result before encoding, which reads it more than once.
+    """
+    return number_tokens(stage(token_counts(df, text_columns), "token-counts"))
 
 
 def hashed_ids(df: DataFrame, text_columns: list[str], buckets: int = HASH_BUCKETS) -> DataFrame:
@@ -93,38 +98,33 @@ def encode_tokens(
     """
     lookup = vocabulary.select("token", "token_id")
     rows = vocabulary.count() if vocabulary_rows is None else vocabulary_rows
+    counts = [f"_n{i}" for i in range(len(text_columns))]
     tokens = df.select(key, *[text.tokenize(F.col(c)).alias(c) for c in text_columns])
-    labelled = F.concat(*[_labelled(c, i) for i, c in enumerate(text_columns)])
-    placed = tokens.select(key, F.explode_outer(labelled).alias("t")).select(key, "t.*")
+    placed = tokens.select(
+        key,
+        *[F.size(c).alias(n) for c, n in zip(text_columns, counts)],
+        F.posexplode_outer(F.concat(*text_columns)).alias("pos", "token"),
+    )
     if rows <= settings.BROADCAST_ROW_LIMIT:
         coded = placed.join(F.broadcast(lookup), "token", "left")
     else:
         hot = vocabulary.orderBy(F.col("n").desc(), "token").limit(hot_tokens).select("token")
-        together = placed.groupBy(key, "token").agg(
-            F.collect_list(F.struct("col", "pos")).alias("places")
-        )
+        together = placed.groupBy(key, *counts, "token").agg(F.collect_list("pos").alias("places"))
         coded = salted_join(together, lookup, "token", spread_by=key, hot=hot, how="left").select(
-            key, "token", "token_id", F.inline_outer("places")
+            key, *counts, "token_id", F.explode_outer("places").alias("pos")
         )
-    entry = F.when(
-        F.col("token").isNotNull(),
-        F.struct("col", "pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id")),
+    # Position and id share one number: small to shuffle and quick to sort.
+    entry = F.shiftleft(F.col("pos").cast("bigint"), 32).bitwiseOR(
+        F.coalesce("token_id", F.lit(UNKNOWN_ID)).cast("bigint")
     )
-    gathered = coded.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-    return gathered.select(
-        key, *[_ids_of(i).alias(f"{c}_ids") for i, c in enumerate(text_columns)]
+    gathered = coded.groupBy(key).agg(
+        *[F.first(n).alias(n) for n in counts], F.sort_array(F.collect_list(entry)).alias("_all")
     )
-
-
-def _labelled(tokens: str, number: int) -> Column:
-    """Tokens with their column number and position."""
-    return F.transform(
-        tokens,
-        lambda token, pos: F.struct(
-            F.lit(number).alias("col"), pos.alias("pos"), token.alias("token")
-        ),
+    ids = gathered.select(
+        key, *counts, F.expr("transform(_all, x -> cast(x & 4294967295 as int))").alias("_ids")
     )
-
-
-def _ids_of(number: int) -> Column:
-    return F.filter("_entries", lambda entry: entry["col"] == number)["id"]
+    first, columns = F.lit(1), []
+    for column, n in zip(text_columns, counts):
+        columns.append(F.slice("_ids", first, F.col(n)).alias(f"{column}_ids"))
+        first = first + F.col(n)
+    return ids.select(key, *columns)

@@ -16,7 +16,7 @@ from pairmine.functions import text
 from pairmine.operators import contexts as extraction
 from pairmine.operators import enrichment, prediction, store, vocabulary
 from pairmine.operators.skew import hot_keys
-from pairmine.session import work_path
+from pairmine.session import spread, work_path
 
 MAX_LEN = 128
 
@@ -59,7 +59,7 @@ REFERENCES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def shape_pages(pages: DataFrame, crawl: int) -> DataFrame:
@@ -77,6 +77,19 @@ def shape_pages(pages: DataFrame, crawl: int) -> DataFrame:
     )
 
 
+_written: dict[tuple, str] = {}
+
+
+def written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived table, written once per application to the shared folder and read back."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = work_path(spark, name)
+        build().write.parquet(path)
+        _written[key] = path
+    return spark.read.parquet(_written[key])
+
+
 def image_pages(spark: SparkSession, sf_dir: str, crawl: int = 1) -> DataFrame:
     return shape_pages(table(spark, sf_dir, "pages"), crawl)
 
@@ -168,8 +181,12 @@ def doc_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deduplicated document contexts as rows of the context table."""
-    return store.to_context_rows(store.dedup_contexts(doc_contexts(spark, sf_dir)), "training")
+    """Deduplicated document contexts, written as the context table."""
+
+    def build():
+        return store.to_context_rows(store.dedup_contexts(doc_contexts(spark, sf_dir)), "training")
+
+    return written(spark, sf_dir, "contexts", build)
 
 
 def span_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,27 +207,35 @@ def span_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pending predictions of two models."""
-    spans = span_rows(spark, sf_dir)
-    first = store.to_prediction_rows(spans, "models/a")
-    return first.unionByName(store.to_prediction_rows(spans, "models/b"))
+    """Pending predictions of two models, written as the prediction table."""
+
+    def build():
+        spans = span_rows(spark, sf_dir)
+        first = store.to_prediction_rows(spans, "models/a")
+        return first.unionByName(store.to_prediction_rows(spans, "models/b"))
+
+    return written(spark, sf_dir, "predictions", build)
 
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetched assets: one row for every image URL but those of one source."""
+    """Fetched assets: one row for every image URL but those of one source, written once."""
     k = F.col("k")
-    urls = doc_contexts(spark, sf_dir).groupBy("image_url").agg(
-        F.sum("record_offset").alias("k"), F.min("record_offset").alias("vec_key")
-    )
-    return urls.filter(~F.contains("image_url", F.lit("/src3/"))).select(
-        "image_url",
-        (k % 10 != 0).alias("http_ok"),
-        F.when(k % 7 != 0, (k * 31) % 20000 + 3000).alias("declared_length"),
-        (150 + (k * 53) % 500).cast("int").alias("width"),
-        (150 + (k * 71) % 500).cast("int").alias("height"),
-        (k % 13 != 0).alias("decodable"),
-        "vec_key",
-    )
+
+    def build():
+        urls = doc_contexts(spark, sf_dir).groupBy("image_url").agg(
+            F.sum("record_offset").alias("k"), F.min("record_offset").alias("vec_key")
+        )
+        return urls.filter(~F.contains("image_url", F.lit("/src3/"))).select(
+            "image_url",
+            (k % 10 != 0).alias("http_ok"),
+            F.when(k % 7 != 0, (k * 31) % 20000 + 3000).alias("declared_length"),
+            (150 + (k * 53) % 500).cast("int").alias("width"),
+            (150 + (k * 71) % 500).cast("int").alias("height"),
+            (k % 13 != 0).alias("decodable"),
+            "vec_key",
+        )
+
+    return written(spark, sf_dir, "assets", build)
 
 
 def with_embeddings(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,12 +268,17 @@ def scored_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hot_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hot_keys(doc_contexts(spark, sf_dir), "image_url", 100)
+    return hot_keys(stored_contexts(spark, sf_dir), "image_url", 100)
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current results of all predictions."""
-    return enrichment.to_result_rows(scored_outcomes(spark, sf_dir), F.lit(1))
+    """Current results of all predictions, written as the result table."""
+    return written(
+        spark,
+        sf_dir,
+        "results",
+        lambda: enrichment.to_result_rows(scored_outcomes(spark, sf_dir), F.lit(1)),
+    )
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,19 +302,6 @@ def labelled_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_written: dict[tuple, str] = {}
-
-
-def written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived table, written once per application to the shared folder and read back."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _written:
-        path = work_path(spark, name)
-        build().write.parquet(path)
-        _written[key] = path
-    return spark.read.parquet(_written[key])
-
-
 def corpus_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return written(

@@ -94,7 +94,7 @@ def page_body(spark, sf):
 def page_text(spark, sf):
     # With no image kept, every image stays in the text as its alt text.
     texts = contexts.page_texts(contexts.anchored_pages(ad.image_pages(spark, sf), max_images=0))
-    return texts.select("page_url", "page_text")
+    return texts.select("page_url", "page_text").filter("page_text is not null")
 
 
 def page_images(spark, sf):
