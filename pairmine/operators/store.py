@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairmine import settings
+from pairmine.session import stage
 
 INSERTION_ORDER = ["warc_path", "record_offset", "img_pos"]
 
@@ -60,6 +61,21 @@ def insert_new(
     return batch.join(known, key, "left_anti")
 
 
+def unprocessed(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among ``done``; made for wide rows.
+
+    Only the key columns are compared.  When little is left to do, the open keys
+    are broadcast (their number is counted) and the wide rows are not shuffled;
+    when nothing is done yet, there is no join at all.
+    """
+    if done.isEmpty():
+        return rows
+    open_keys = stage(rows.select(key).join(done.select(key), key, "left_anti"), "open-keys")
+    if open_keys.count() <= settings.BROADCAST_ROW_LIMIT:
+        return rows.join(F.broadcast(open_keys), key, "left_semi")
+    return rows.join(done.select(key), key, "left_anti")
+
+
 def insert_contexts(
     contexts: DataFrame, stored: DataFrame, batch_rows: int | None = None
 ) -> DataFrame:

@@ -60,7 +60,7 @@ def predict_from_store(
     contexts = store.inference_contexts(tables.read_table(spark, root, "image_context"))
     attempted, added = Observation("attempted"), Observation("added")
     inputs = inference_inputs(
-        contexts.join(done, "context_id", "left_anti"), max_len, max_before_tokens
+        store.unprocessed(contexts, done, "context_id"), max_len, max_before_tokens
     ).observe(attempted, F.count(F.lit(1)).alias("attempted"))
     logits = prediction.predict_logits(inputs, make_predict_fn, max_len, batch_size)
     spans = prediction.decode_predictions(logits, method)

@@ -70,6 +70,16 @@ def test_insert_ignores_stored_keys(spark, rows):
     assert store.insert_contexts(batch, both, rows).count() == 0
 
 
+def test_unprocessed_rows(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, "x" * 10) for i in range(20)], "k long, payload string")
+    done = spark.range(0, 20, 2).withColumnRenamed("id", "k")
+    expected = list(range(1, 20, 2))
+    assert sorted(r.k for r in store.unprocessed(rows, done, "k").collect()) == expected
+    monkeypatch.setattr(store.settings, "BROADCAST_ROW_LIMIT", 3)
+    assert sorted(r.k for r in store.unprocessed(rows, done, "k").collect()) == expected
+    assert store.unprocessed(rows, done.filter("false"), "k").count() == 20
+
+
 def test_flags_and_modes(spark):
     rows = [row("i1", "p", flag=True), row("i2", "p", offset=2), row("i3", "p", offset=3, flag=True)]
     flagged = table(spark, *rows)
