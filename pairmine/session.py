@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
+_shipped: set[tuple[str, str]] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,3 +57,24 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def ship(spark: SparkSession, folder: str) -> None:
+    """Give the Python workers the package in ``folder``, once per application.
+
+    The same as naming it in ``--py-files`` when the application starts.
+    """
+    folder = os.path.abspath(folder)
+    key = (spark.sparkContext.applicationId, folder)
+    if key in _shipped:
+        return
+    base, name = os.path.split(folder)
+    archive = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for root, _, files in os.walk(folder):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(root, file)
+                    out.write(path, os.path.relpath(path, base))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(key)
