@@ -60,7 +60,7 @@ def decode_page(html_bytes: Column, content_type: Column | None = None) -> Colum
 
     The character set comes from the response header, else from the page's own
     declaration in its first kilobyte, else it is UTF-8.  Western single-byte
-    sets read as ISO-8859-1; invalid UTF-8 sequences become replacement
+    sets all read as windows-1252; invalid UTF-8 sequences become replacement
     characters, so no page can raise.
     """
     head = F.decode(F.substring(html_bytes, F.lit(1), F.lit(1024)), "ISO-8859-1")
@@ -71,7 +71,14 @@ def decode_page(html_bytes: Column, content_type: Column | None = None) -> Colum
         )
         declared = F.when(header != "", header).otherwise(declared)
     western = F.lower(declared).rlike("^(?:iso-?8859-1|iso_8859-1|latin-?1|us-ascii|windows-1252|cp-?1252)$")
-    return F.when(western, F.decode(html_bytes, "ISO-8859-1")).otherwise(
+    codes = [(chr(c), bytes([c]).decode("cp1252", errors="ignore")) for c in range(128, 160)]
+    codes = [(code, char) for code, char in codes if char]
+    single_byte = F.translate(
+        F.decode(html_bytes, "ISO-8859-1"),
+        "".join(code for code, _ in codes),
+        "".join(char for _, char in codes),
+    )
+    return F.when(western, single_byte).otherwise(
         F.make_valid_utf8(html_bytes.cast("string"))
     )
 

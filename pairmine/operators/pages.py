@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairmine import settings
 from pairmine.functions import markup
+from pairmine.operators.barrier import drop_nulls
 
 
 def is_html_response(content_type: Column) -> Column:
@@ -23,8 +24,10 @@ def is_admitted(min_bytes: int = settings.MIN_RECORD_BYTES) -> Column:
 
 
 def admit_pages(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -> DataFrame:
-    """Keep parsed HTML responses of at least ``min_bytes`` with a body."""
-    return records.filter(is_admitted(min_bytes) & (F.length("html_bytes") > 0))
+    """Keep parsed HTML responses of at least ``min_bytes`` with a URL and a payload."""
+    return records.filter(
+        is_admitted(min_bytes) & (F.col("page_url") != "") & (F.length("html_bytes") > 0)
+    )
 
 
 def decode_pages(records: DataFrame) -> DataFrame:
@@ -37,11 +40,8 @@ def decode_pages(records: DataFrame) -> DataFrame:
 def page_bodies(pages: DataFrame, implied_body: bool = False) -> DataFrame:
     """Pages with their body markup in ``body``; a page without a body is dropped."""
     clean = pages.withColumn("clean", markup.drop_raw_content(F.col("html")))
-    return (
-        clean.withColumn("body", markup.body_markup(F.col("clean"), implied_body))
-        .drop("clean")
-        .filter(F.col("body").isNotNull())
-    )
+    bodies = clean.withColumn("body", markup.body_markup(F.col("clean"), implied_body))
+    return drop_nulls(bodies.drop("clean"), "body")
 
 
 def quarantine(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -> DataFrame:
@@ -73,11 +73,8 @@ def quarantine(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -
         ),
     ).withColumn("unmarked", markup.drop_raw_content(html))
     reason = F.coalesce(F.col("header_reason"), page_reason)
-    return (
-        decoded.withColumn("reason", reason)
-        .filter(F.col("reason").isNotNull())
-        .select("warc_path", "record_offset", "page_url", "reason")
-    )
+    reasons = decoded.select("warc_path", "record_offset", "page_url", reason.alias("reason"))
+    return drop_nulls(reasons, "reason")
 
 
 def ingest_counters(
@@ -93,13 +90,12 @@ def ingest_counters(
         F.count_if(is_admitted(min_bytes) & (F.length("html_bytes") > 0)).alias("parsed_pages"),
     )
     added = kept.agg(
-        F.count(F.lit(1)).alias("contexts_added"),
-        F.count_if(F.col("is_training_candidate")).alias("contexts_marked"),
+        F.struct(
+            F.count(F.lit(1)).alias("contexts_added"),
+            F.count_if(F.col("is_training_candidate")).alias("contexts_marked"),
+        ).alias("added")
     )
     found = extracted.agg(F.count(F.lit(1)).alias("contexts_found"))
     return scanned.select(
-        "*",
-        found.scalar().alias("contexts_found"),
-        added.select("contexts_added").scalar().alias("contexts_added"),
-        added.select("contexts_marked").scalar().alias("contexts_marked"),
-    )
+        "*", found.scalar().alias("contexts_found"), added.scalar().alias("added")
+    ).select(*scanned.columns, "contexts_found", "added.*")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairmine import settings
 from pairmine.operators import enrichment, store
-from pairmine.operators.skew import hot_keys
+from pairmine.session import stage
 from pairmine.sources import tables
 
 
@@ -27,13 +27,21 @@ def current_predictions(
     return store.apply_status(predictions, current_results(spark, root), split_download_status)
 
 
+def pending_pairs(open_rows: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Pending predictions with their image, staged.
+
+    Both the count of hot images and the join with the assets read them, and the
+    size of a staged table is known to the planner.
+    """
+    return stage(store.pending_predictions(open_rows, contexts), "pending")
+
+
 def outcomes(
     pending: DataFrame,
     assets: DataFrame,
     add_embeddings: Callable[[DataFrame], DataFrame],
     version: Column,
     model_name: str = settings.SIMILARITY_MODEL,
-    hot_urls: DataFrame | None = None,
     **limits,
 ) -> DataFrame:
     """Result rows of pending predictions ``(prediction_id, predicted_text, image_url)``.
@@ -41,7 +49,7 @@ def outcomes(
     ``add_embeddings`` adds ``image_embedding`` and ``text_embedding``, by a join
     or by the user's encoders.
     """
-    admitted = enrichment.admit_assets(pending, assets, hot_urls, **limits)
+    admitted = enrichment.admit_assets(pending, assets, **limits)
     scored = enrichment.score_admitted(add_embeddings(admitted))
     return enrichment.to_result_rows(scored, version, model_name)
 
@@ -58,14 +66,12 @@ def enrich_from_store(
     """Drain all predictions without a result; returns the counters of the run."""
     predictions = tables.read_table(spark, root, "predicted_descriptions")
     finished = tables.read_table(spark, root, "clip_results", without_batch=batch)
-    open_rows = store.insert_new(predictions, finished, "prediction_id")
-    contexts = tables.read_table(spark, root, "image_context")
-    pending = store.pending_predictions(open_rows, contexts)
-    hot = hot_keys(contexts, "image_url")
+    open_rows = store.unprocessed(predictions, finished, "prediction_id")
+    pending = pending_pairs(open_rows, tables.read_table(spark, root, "image_context"))
     counted = Observation("outcomes")
     message = F.col("error_message")
     rows = outcomes(
-        pending, assets, add_embeddings, F.unix_micros(F.current_timestamp()), model_name, hot, **limits
+        pending, assets, add_embeddings, F.unix_micros(F.current_timestamp()), model_name, **limits
     ).observe(
         counted,
         F.count(F.lit(1)).alias("processed"),

@@ -14,8 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pairmine import schemas
 from pairmine.operators import store
-from pairmine.operators.skew import hot_keys
 from pairmine.plans import enrich, extract
+from pairmine.session import stage
 from pairmine.sources import tables
 
 
@@ -72,16 +72,15 @@ def stream_enrichment(
         session = batch.sparkSession
         label = f"{name}-{epoch:09d}"
         finished = tables.read_table(session, root, "clip_results", without_batch=label)
-        open_rows = store.insert_new(batch, finished, "prediction_id")
-        contexts = tables.read_table(session, root, "image_context")
-        pending = store.pending_predictions(open_rows, contexts)
+        new = store.insert_new(batch, finished, "prediction_id", batch.count())
+        # Staged, a small batch is known to be small, and the contexts it joins
+        # are not shuffled.
+        open_rows = stage(new, "open-predictions")
+        pending = enrich.pending_pairs(
+            open_rows, tables.read_table(session, root, "image_context")
+        )
         rows = enrich.outcomes(
-            pending,
-            assets,
-            add_embeddings,
-            F.unix_micros(F.current_timestamp()),
-            hot_urls=hot_keys(contexts, "image_url"),
-            **limits,
+            pending, assets, add_embeddings, F.unix_micros(F.current_timestamp()), **limits
         )
         tables.write_batch(rows, root, "clip_results", label)
 

@@ -91,7 +91,10 @@ def written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 
 def image_pages(spark: SparkSession, sf_dir: str, crawl: int = 1) -> DataFrame:
-    return shape_pages(table(spark, sf_dir, "pages"), crawl)
+    """The image pages of one crawl, written as a table of pages."""
+    return written(
+        spark, sf_dir, f"pages-{crawl}", lambda: shape_pages(table(spark, sf_dir, "pages"), crawl)
+    )
 
 
 def both_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +102,11 @@ def both_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crawl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crawl records around the image pages, some of them not admissible."""
+    """Crawl records around the image pages, some not admissible, written as a table."""
+    return written(spark, sf_dir, "records", lambda: _crawl_records(spark, sf_dir))
+
+
+def _crawl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = image_pages(spark, sf_dir)
     n = F.col("record_offset")
     kind = (

@@ -20,7 +20,8 @@ from pairmine.operators import (
     training,
     vocabulary,
 )
-from pairmine.session import work_path
+from pairmine.operators.barrier import drop_nulls
+from pairmine.session import stage, work_path
 from pairmine.sources import images, tables, warc
 from pairmine.streaming import incremental
 from workload import adapters as ad
@@ -76,7 +77,9 @@ def asset_scan(spark, sf):
 
 def ingest_counters(spark, sf):
     records = ad.crawl_records(spark, sf)
-    extracted = contexts.extract_contexts(pages.decode_pages(pages.admit_pages(records)))
+    extracted = stage(
+        contexts.extract_contexts(pages.decode_pages(pages.admit_pages(records))), "extracted"
+    )
     kept = store.to_context_rows(store.dedup_contexts(extracted), "training")
     return pages.ingest_counters(records, extracted, kept)
 
@@ -94,12 +97,12 @@ def page_body(spark, sf):
 def page_text(spark, sf):
     # With no image kept, every image stays in the text as its alt text.
     texts = contexts.page_texts(contexts.anchored_pages(ad.image_pages(spark, sf), max_images=0))
-    return texts.select("page_url", "page_text").filter("page_text is not null")
+    return drop_nulls(texts.select("page_url", "page_text"), "page_text")
 
 
 def page_images(spark, sf):
     anchored = contexts.anchored_pages(ad.image_pages(spark, sf))
-    rows = anchored.select("page_url", F.explode("anchors").alias("a")).filter("a.kept")
+    rows = anchored.select("page_url", F.explode_outer("anchors").alias("a")).filter("a.kept")
     return rows.select("page_url", "a.pos", "a.src", "a.alt")
 
 
@@ -114,8 +117,9 @@ def resolve_url(spark, sf):
 def anchor_segments(spark, sf):
     texts = contexts.page_texts(contexts.anchored_pages(ad.image_pages(spark, sf)))
     parts = texts.select(
-        "page_url", F.posexplode(F.split("page_text", markup.ANCHOR_START)).alias("segment", "part")
-    )
+        "page_url",
+        F.posexplode_outer(F.split("page_text", markup.ANCHOR_START)).alias("segment", "part"),
+    ).filter("part is not null")
     return parts.select(
         "page_url",
         "segment",
