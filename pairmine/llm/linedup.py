@@ -67,6 +67,10 @@ def _sets(lines: DataFrame, classes: str) -> DataFrame:
     return words.select("doc_id", "rid", "line_no", ordered.alias("r"))
 
 
+#: The prefixes are joined on 32 bits of a word; equal bits of other words lose nothing.
+_SHORT = "cast((x & 4294967295L) - 2147483648L as int)"
+
+
 def _prefix(n: str) -> str:
     """Length of the prefix of a set of ``n`` words."""
     return f"{n} - ({NUMERATOR} * {n} + {DENOMINATOR - 1}) div {DENOMINATOR} + 1"
@@ -89,10 +93,10 @@ _POSSIBLE = (
 _BITMAPS = f"bit_count(l.s0 ^ e.s0) + bit_count(l.s1 ^ e.s1) <= l.n + e.n - 2 * {_OVERLAP}"
 
 
-def _semi(rows: DataFrame, condition: str) -> DataFrame:
+def _semi(rows: DataFrame, condition: str, *key: str) -> DataFrame:
     """Keys of the sets for which another row of the same word meets the condition."""
-    left, earlier = rows.alias("l").hint("merge"), rows.alias("e").hint("merge")
-    return left.join(earlier, F.expr(condition), "left_semi").select("k1", "k2").distinct()
+    left, earlier = rows.alias("l").hint("merge"), rows.alias("e")
+    return left.join(earlier, F.expr(condition), "left_semi").select(*key).distinct()
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
@@ -109,15 +113,18 @@ def kept_lines(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.lit(1), "r").alias("k2"),
         F.struct("doc_id", "rid", "line_no").alias("at"),
         F.size("r").alias("n"),
-        F.expr(f"slice(r, 1, {_prefix('size(r)')})").alias("p"),
+        F.expr(f"transform(slice(r, 1, {_prefix('size(r)')}), x -> {_SHORT})").alias("p"),
         _parity(0).alias("s0"),
         _parity(1).alias("s1"),
     )
     firsts = [F.first(c).alias(c) for c in ("n", "p", "s0", "s1")]
     sets = stage(described.groupBy("k1", "k2").agg(F.min("at").alias("at"), *firsts), "line-sets")
-    tokens = sets.select(F.posexplode("p").alias("pos", "token"), "k1", "k2", "n", "s0", "s1")
-    partners = _semi(tokens, f"{_POSSIBLE} and (l.k1 <> e.k1 or l.k2 <> e.k2) and {_BITMAPS}")
-    maybe = stage(sets.select("k1", "k2", "at").join(partners, ["k1", "k2"], "left_semi"), "line-partners")
+    # Of the key, half is enough here: equal halves only add a set to those compared in full.
+    # In this order both sides of the join are one plan, and its shuffle is made once.
+    tokens = sets.select("k1", "n", "s0", "s1", F.posexplode("p").alias("pos", "token"))
+    other = "(l.k1 <> e.k1 or l.s0 <> e.s0 or l.s1 <> e.s1)"
+    partners = _semi(tokens, f"{_POSSIBLE} and {other} and {_BITMAPS}", "k1")
+    maybe = stage(sets.select("k1", "k2", "at").join(partners, "k1", "left_semi"), "line-partners")
 
     places = sized(
         maybe.select("k1", "k2", F.xxhash64("at").alias("place"), "at"), "line-places"
@@ -127,9 +134,10 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     full = _sets(found.select("doc_id", "rid", "line_no", "line"), classes).select(
         F.xxhash64("r").alias("k1"), F.xxhash64(F.lit(1), "r").alias("k2"),
         F.struct("doc_id", "rid", "line_no").alias("at"), "r", F.size("r").alias("n"),
+        _parity(0).alias("s0"), _parity(1).alias("s1"),
     )
-    full = full.select("*", F.posexplode(F.expr(f"slice(r, 1, {_prefix('n')})")).alias("pos", "token"))
-    later = _semi(full, f"{_POSSIBLE} and e.at < l.at and size(array_intersect(l.r, e.r)) >= {_OVERLAP}")
+    full = full.select("*", F.posexplode(F.expr(f"transform(slice(r, 1, {_prefix('n')}), x -> {_SHORT})")).alias("pos", "token"))
+    later = _semi(full, f"{_POSSIBLE} and e.at < l.at and {_BITMAPS} and size(array_intersect(l.r, e.r)) >= {_OVERLAP}", "k1", "k2")
     first = sets.select("k1", "k2", "at").join(stage(later, "line-later"), ["k1", "k2"], "left_anti")
     return first.groupBy("at.doc_id", "at.rid").agg(F.collect_list("at.line_no").alias("kept"))
 
