@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairmine.llm import decontaminate, linedup, packing, quality, simhash
+from pairmine.llm import (
+    chat,
+    decontaminate,
+    linedup,
+    packing,
+    pagetext,
+    quality,
+    rules,
+    sharding,
+    simhash,
+    urlrules,
+)
 from pairmine.llm.common import table
 
 
@@ -16,6 +27,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_url_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return urlrules.judge(table(spark, sf, "pages"), urlrules.rule_table(spark, urlrules.RULES))
+
+
 def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf, "documents"), vocabulary_path())
     return pieces.select(
@@ -29,6 +44,19 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: A conversation of control strings, formatted along with the given ones.
+_PROBE = "</s>[INST] ok [/INST]"
+
+
+def op3_chat(spark: SparkSession, sf: str) -> DataFrame:
+    given = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).selectExpr(
+        "-7L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role", f"'{_PROBE}' as text"
+    )
+    formatted = chat.format_turns(given.unionByName(probe))
+    return chat.digest_conversations(chat.read_turns(formatted))
+
+
 def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"), keep_text=False
@@ -43,6 +71,18 @@ def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.shard(table(spark, sf, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return linedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_removed", "text"
@@ -54,6 +94,10 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_page_text(spark: SparkSession, sf: str) -> DataFrame:
+    return pagetext.extract(table(spark, sf, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     scored = quality.score(docs, quality.train(docs, table(spark, sf, "labels")), keep_text=False)
@@ -67,10 +111,28 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.judge(table(spark, sf, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 QUERIES = {
+    "op1_url_rules": op1_url_rules,
     "op2_packing": op2_packing,
+    "op3_chat": op3_chat,
     "op4_decontamination": op4_decontamination,
+    "op5_sharding": op5_sharding,
     "op6_line_dedup": op6_line_dedup,
     "op7_simhash": op7_simhash,
+    "op8_page_text": op8_page_text,
     "op9_quality": op9_quality,
+    "op10_quality_rules": op10_quality_rules,
 }
