@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairmine.llm.rows import sized
+from pairmine.llm.rows import release, sized
 from pairmine.session import stage
 
 NUMERATOR, DENOMINATOR = 4, 5
@@ -63,7 +63,7 @@ def _sets(lines: DataFrame, classes: str) -> DataFrame:
         f"cast(x & {_BUCKETS - 1}L as int)) as bigint), 58) | shiftrightunsigned(x, 6))"
     )
     # A generator keeps the numbers from being computed once per use.
-    ordered = F.explode(F.array(F.array_distinct(F.sort_array(F.expr(number)))))
+    ordered = F.explode(F.array(F.sort_array(F.expr(number))))
     return words.select("doc_id", "rid", "line_no", ordered.alias("r"))
 
 
@@ -86,17 +86,16 @@ def _parity(part: int) -> Column:
 #: Least common words of two similar sets.
 _OVERLAP = f"(({NUMERATOR} * (l.n + e.n) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR})"
 #: What similar sets meet: length filter, positional filter, bitmap filter.
-_POSSIBLE = (
+_LENGTHS = (
     f"l.token = e.token and {DENOMINATOR} * l.n >= {NUMERATOR} * e.n and {DENOMINATOR} * e.n >= {NUMERATOR} * l.n"
-    f" and least(l.n - l.pos, e.n - e.pos) >= {_OVERLAP}"
 )
+_POSSIBLE = f"{_LENGTHS} and least(l.n - l.pos, e.n - e.pos) >= {_OVERLAP}"
 _BITMAPS = f"bit_count(l.s0 ^ e.s0) + bit_count(l.s1 ^ e.s1) <= l.n + e.n - 2 * {_OVERLAP}"
 
 
-def _semi(rows: DataFrame, condition: str, *key: str) -> DataFrame:
-    """Keys of the sets for which another row of the same word meets the condition."""
-    left, earlier = rows.alias("l").hint("merge"), rows.alias("e")
-    return left.join(earlier, F.expr(condition), "left_semi").select(*key).distinct()
+def _semi(rows: DataFrame, condition: str) -> DataFrame:
+    """Rows for which another row of the same word meets the condition."""
+    return rows.alias("l").hint("merge").join(rows.alias("e"), F.expr(condition), "left_semi")
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
@@ -106,6 +105,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     repeat an id and its text are one document.  Null ids come first.  A document
     without such lines has no row.
     """
+    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     classes = _rarity(docs)
     described = _sets(_lines(docs), classes).select(
@@ -119,26 +119,34 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     )
     firsts = [F.first(c).alias(c) for c in ("n", "p", "s0", "s1")]
     sets = stage(described.groupBy("k1", "k2").agg(F.min("at").alias("at"), *firsts), "line-sets")
+    release(spark)
     # Of the key, half is enough here: equal halves only add a set to those compared in full.
     # In this order both sides of the join are one plan, and its shuffle is made once.
     tokens = sets.select("k1", "n", "s0", "s1", F.posexplode("p").alias("pos", "token"))
     other = "(l.k1 <> e.k1 or l.s0 <> e.s0 or l.s1 <> e.s1)"
-    partners = _semi(tokens, f"{_POSSIBLE} and {other} and {_BITMAPS}", "k1")
-    maybe = stage(sets.select("k1", "k2", "at").join(partners, "k1", "left_semi"), "line-partners")
-
-    places = sized(
-        maybe.select("k1", "k2", F.xxhash64("at").alias("place"), "at"), "line-places"
-    )
+    # Words that a set shares with a possible partner.
+    shared = stage(_semi(tokens, f"{_POSSIBLE} and {other} and {_BITMAPS}").select("k1", "token"), "line-shared")
+    release(spark)
+    maybe = sets.select("k1", "k2", "at").join(shared.select("k1").distinct(), "k1", "left_semi")
+    places = sized(maybe.select("k1", "k2", F.xxhash64("at").alias("place"), "at"), "line-places")
     lines = _lines(docs).withColumn("place", F.xxhash64(F.struct("doc_id", "rid", "line_no")))
     found = lines.join(places, "place").filter(F.col("at") == F.struct("doc_id", "rid", "line_no"))
     full = _sets(found.select("doc_id", "rid", "line_no", "line"), classes).select(
-        F.xxhash64("r").alias("k1"), F.xxhash64(F.lit(1), "r").alias("k2"),
-        F.struct("doc_id", "rid", "line_no").alias("at"), "r", F.size("r").alias("n"),
-        _parity(0).alias("s0"), _parity(1).alias("s1"),
+        F.xxhash64("r").alias("k1"),
+        F.xxhash64(F.lit(1), "r").alias("k2"),
+        F.struct("doc_id", "rid", "line_no").alias("at"),
+        "r",
+        F.size("r").alias("n"),
+        _parity(0).alias("s0"),
+        _parity(1).alias("s1"),
     )
-    full = full.select("*", F.posexplode(F.expr(f"transform(slice(r, 1, {_prefix('n')}), x -> {_SHORT})")).alias("pos", "token"))
-    later = _semi(full, f"{_POSSIBLE} and e.at < l.at and {_BITMAPS} and size(array_intersect(l.r, e.r)) >= {_OVERLAP}", "k1", "k2")
-    first = sets.select("k1", "k2", "at").join(stage(later, "line-later"), ["k1", "k2"], "left_anti")
+    keyed = stage(full, "line-words").join(shared.distinct(), "k1")
+    # Both sides need the same columns, so this shuffle is made once, too.
+    earlier = f"{_LENGTHS} and e.at < l.at and (l.k1 <> e.k1 or l.k2 <> e.k2) and {_BITMAPS}"
+    same = f"size(array_intersect(l.r, e.r)) >= {_OVERLAP}"
+    later = stage(_semi(keyed, f"{earlier} and {same}").select("k1", "k2").distinct(), "line-later")
+    release(spark)
+    first = sets.select("k1", "k2", "at").join(later, ["k1", "k2"], "left_anti")
     return first.groupBy("at.doc_id", "at.rid").agg(F.collect_list("at.line_no").alias("kept"))
 
 
@@ -159,13 +167,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     same = (keyed["_rid"] == facts["_rid"]) & keyed["doc_id"].cast("long").eqNullSafe(facts["_of"])
     joined = keyed.join(facts, same, "left")
     listed = joined.withColumn("_lines", F.split("text", "\n"))
-    stays = listed.withColumn(
-        "_stay",
-        F.filter(
-            F.col("_lines"),
-            lambda line, i: ~line.rlike(_LONG_ENOUGH) | F.coalesce(F.array_contains(F.col("_kept"), i), F.lit(False)),
-        ),
+    staying = F.filter(
+        F.col("_lines"),
+        lambda line, i: ~line.rlike(_LONG_ENOUGH) | F.coalesce(F.array_contains(F.col("_kept"), i), F.lit(False)),
     )
+    stays = listed.withColumn("_stay", F.explode(F.array(staying)))
     removed = F.size("_lines") - F.size("_stay")
     text = F.when(removed > 0, F.array_join("_stay", "\n")).otherwise(F.col("text"))
     return stays.select(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmine.session import stage
@@ -20,3 +22,13 @@ def sized(facts: DataFrame, name: str) -> DataFrame:
 def drop_rows(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """``docs`` without the rows whose ``key`` is in ``gone``."""
     return docs.join(sized(gone, "gone"), key, "left_anti")
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps.
+
+    Spark removes them when the driver collects the plans they belong to, which a
+    driver with free memory may put off for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
