@@ -31,7 +31,7 @@ MAX_WINDOWS = 200_000
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STRETCH = 512
-_BATCH_WORDS = 1_000_000
+_BATCH_WORDS = 150_000
 
 
 def split_words(text: str | None) -> list[bytes]:

@@ -47,7 +47,7 @@ def _rarity(docs: DataFrame) -> str:
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, rid, line_no, line) of the lines with enough words."""
     split = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        "doc_id",
         F.xxhash64("doc_id", "text").alias("rid"),
         F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
     )
@@ -106,7 +106,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     without such lines has no row.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     classes = _rarity(docs)
     described = _sets(_lines(docs), classes).select(
         F.xxhash64("r").alias("k1"),
@@ -129,7 +129,9 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     release(spark)
     maybe = sets.select("k1", "k2", "at").join(shared.select("k1").distinct(), "k1", "left_semi")
     places = sized(maybe.select("k1", "k2", F.xxhash64("at").alias("place"), "at"), "line-places")
-    lines = _lines(docs).withColumn("place", F.xxhash64(F.struct("doc_id", "rid", "line_no")))
+    holders = sized(maybe.select(F.col("at.rid").alias("rid")).distinct(), "line-holders")
+    held = docs.withColumn("rid", F.xxhash64(F.col("doc_id"), "text")).join(holders, "rid", "left_semi").drop("rid")
+    lines = _lines(held).withColumn("place", F.xxhash64(F.struct("doc_id", "rid", "line_no")))
     found = lines.join(places, "place").filter(F.col("at") == F.struct("doc_id", "rid", "line_no"))
     full = _sets(found.select("doc_id", "rid", "line_no", "line"), classes).select(
         F.xxhash64("r").alias("k1"),

@@ -36,7 +36,7 @@ _OUT = pa.schema(
         ("offset", pa.int64()),
     ]
 )
-_BATCH_TOKENS = 4_000_000
+_BATCH_TOKENS = 1_000_000
 
 
 class Levels:

@@ -3,10 +3,14 @@
 Rows of equal text are a group and stay together.  A partial partition is a tuple of
 shard sums; at first every group is one with a single sum.  The two partial partitions
 of largest spread are combined again and again, the largest sum of one with the
-smallest of the other, until one is left.  Groups are dealt by hash into parts of
-about ``PART_GROUPS``, each differenced in a task of its own; the partial partitions that
-are left are differenced again, ``FAN_IN`` at a time, until one remains, so no task
-sees more than a bounded number of groups or sums.
+smallest of the other, until one is left.
+
+Differencing takes large groups first, and so does the job: groups are dealt in classes
+of size, a factor of 64 apart, from the largest down.  A class is cut by hash into
+parts of about ``PART_GROUPS`` groups, each differenced in a task of its own, together with
+one more partial partition: the part's share of what the shards hold so far.  The
+smaller groups thus level out the larger ones, and no task sees more than a bounded
+number of groups; the driver sees one sum per shard and class.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pairmine.session import stage
 SHARDS = 40
 ROW_BYTES = 16
 PART_GROUPS = 4_096
-FAN_IN = 128
+_CLASS_BITS = 6
 SLOT_ROWS = 20_000
 
 
@@ -57,65 +61,42 @@ def difference(sums: np.ndarray) -> np.ndarray:
     return out
 
 
-def _deal_groups(rows: pd.DataFrame, shards: int) -> pd.DataFrame:
-    """Shard of each group inside its part."""
+def _deal_part(rows: pd.DataFrame, held: np.ndarray) -> pd.DataFrame:
+    """Shard of each group of a part, where the shards already hold ``held``."""
     rows = rows.sort_values(["bytes", "digest"], ascending=[False, True], ignore_index=True)
-    sums = np.zeros((len(rows), shards), dtype=np.int64)
-    sums[:, 0] = rows["bytes"].to_numpy()
-    rows["slot"] = difference(sums)[:, 0].astype(np.int32)
-    return rows[["digest", "part", "slot", "bytes"]]
-
-
-def _deal_parts(rows: pd.DataFrame, shards: int) -> pd.DataFrame:
-    """Where each shard of each part goes among the shards of the next part."""
-    parts = np.sort(rows["part"].unique())
-    place = np.searchsorted(parts, rows["part"].to_numpy())
-    sums = np.zeros((len(parts), shards), dtype=np.int64)
-    sums[place, rows["slot"].to_numpy()] = rows["bytes"].to_numpy()
+    sums = np.zeros((len(rows) + 1, len(held)), dtype=np.int64)
+    sums[0] = held
+    sums[1:, 0] = rows["bytes"].to_numpy()
     dealt = difference(sums)
-    return pd.DataFrame(
-        {
-            "part": np.repeat(parts, shards),
-            "slot": np.tile(np.arange(shards, dtype=np.int32), len(parts)),
-            "up": rows["up"].iloc[0],
-            "up_slot": dealt.ravel().astype(np.int32),
-            "bytes": sums.ravel(),
-        }
-    )
+    # Shards keep the names they have in ``held``.
+    name = np.argsort(dealt[0])
+    rows["shard"] = name[dealt[1:, 0]].astype(np.int32)
+    return rows[["digest", "shard", "bytes"]]
 
 
 def assign_groups(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(digest, shard) for groups (digest, bytes)."""
     ship_code(groups.sparkSession)
-    count = groups.count()
-    parts = max(1, -(-count // PART_GROUPS))
-    dealt = groups.withColumn("part", F.pmod(F.xxhash64("digest"), F.lit(parts)).cast("long"))
-    held = stage(
-        dealt.groupBy("part").applyInPandas(
-            lambda rows: _deal_groups(rows, shards), "digest binary, part long, slot int, bytes long"
-        ),
-        "shard-groups",
-    )
-    # (part, slot) to (part of the level above, its slot), composed up to one part.
-    whole = held.groupBy("part", "slot").agg(F.sum("bytes").alias("bytes"))
-    table = whole.select("part", "slot", F.col("part").alias("up"), F.col("slot").alias("up_slot"))
-    sums = whole
-    while parts > 1:
-        parts = -(-parts // FAN_IN)
-        above = sums.withColumn("up", F.pmod("part", F.lit(parts)))
-        level = stage(
-            above.groupBy("up").applyInPandas(
-                lambda rows: _deal_parts(rows, shards), "part long, slot int, up long, up_slot int, bytes long"
-            ),
-            "shard-parts",
-        )
-        step = level.select(
-            F.col("part").alias("up"), F.col("slot").alias("up_slot"), F.col("up").alias("n"), F.col("up_slot").alias("n_slot")
+    size_class = F.floor((F.length(F.bin("bytes")) - 1) / _CLASS_BITS).cast("int")
+    classed = stage(groups.select("digest", "bytes", size_class.alias("class")), "shard-groups")
+    sizes = classed.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per class
+    sums = np.zeros(shards, dtype=np.int64)
+    done = []
+    for row in sorted(sizes, reverse=True):
+        parts = -(-row["n"] // PART_GROUPS)
+        held = (sums - sums.min()) // parts
+        own = classed.filter(F.col("class") == row["class"])
+        part = F.pmod(F.xxhash64("digest"), F.lit(parts)).cast("long")
+        dealt = own.withColumn("part", part).groupBy("part").applyInPandas(
+            lambda rows, held=held: _deal_part(rows, held), "digest binary, shard int, bytes long"
         )
-        table = table.join(step, ["up", "up_slot"]).select("part", "slot", F.col("n").alias("up"), F.col("n_slot").alias("up_slot"))
-        sums = level.groupBy(F.col("up").alias("part"), F.col("up_slot").alias("slot")).agg(F.sum("bytes").alias("bytes"))
-    table = sized(table.select("part", "slot", F.col("up_slot").alias("shard")), "shard-table")
-    return held.join(table, ["part", "slot"]).select("digest", "shard")
+        done.append(stage(dealt, "shard-class"))
+        for total in done[-1].groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():  # one row per shard
+            sums[total["shard"]] += total["bytes"]
+    whole = classed.select("digest", F.lit(0).alias("shard"), "bytes").limit(0)
+    for one in done:
+        whole = whole.union(one)
+    return whole.select("digest", "shard")
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -137,7 +118,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         "shard-rows",
     )
     groups = rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
-    dealt = stage(assign_groups(groups, shards), "shard-of")
+    dealt = assign_groups(groups, shards)
     buckets = max(1, rows.count() // (shards * SLOT_ROWS) + 1)
     placed = stage(
         rows.join(dealt, "digest").withColumn(

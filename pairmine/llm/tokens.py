@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable
 
 #: Chunks of text that one worker remembers; about 150 bytes each.
-MEMORY = 600_000
+MEMORY = 200_000
 
 _SPACE = re.compile(r" (?=\S)")
 _WIDE = re.compile(r" \s|\s $")
