@@ -74,6 +74,10 @@ def _deal_part(rows: pd.DataFrame, held: np.ndarray) -> pd.DataFrame:
     return rows[["digest", "shard", "bytes"]]
 
 
+def _dealer(held: np.ndarray):
+    return lambda rows: _deal_part(rows, held)
+
+
 def assign_groups(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(digest, shard) for groups (digest, bytes)."""
     ship_code(groups.sparkSession)
@@ -88,7 +92,7 @@ def assign_groups(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
         own = classed.filter(F.col("class") == row["class"])
         part = F.pmod(F.xxhash64("digest"), F.lit(parts)).cast("long")
         dealt = own.withColumn("part", part).groupBy("part").applyInPandas(
-            lambda rows, held=held: _deal_part(rows, held), "digest binary, shard int, bytes long"
+            _dealer(held), "digest binary, shard int, bytes long"
         )
         done.append(stage(dealt, "shard-class"))
         for total in done[-1].groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():  # one row per shard
