@@ -33,8 +33,9 @@ def test_odd_rows(spark):
     assert sharding.shard(docs.limit(0), 4).count() == 0
 
 
-@pytest.mark.parametrize("part", [4_096, 40])
-def test_sums_are_close(spark, monkeypatch, part):
+# Parts of a handful of groups a shard cannot level out as finely as real ones.
+@pytest.mark.parametrize("part,share", [(4_096, 0.005), (40, 0.02)])
+def test_sums_are_close(spark, monkeypatch, part, share):
     monkeypatch.setattr(sharding, "PART_GROUPS", part)
     monkeypatch.setattr(sharding, "SLOT_ROWS", 7)
     random = np.random.default_rng(3)
@@ -47,7 +48,7 @@ def test_sums_are_close(spark, monkeypatch, part):
     sums = collections.Counter()
     for r in found:
         sums[r.shard] += r.size
-    assert len(sums) == 8 and max(sums.values()) - min(sums.values()) < 0.01 * sum(sums.values()) / 8
+    assert len(sums) == 8 and max(sums.values()) - min(sums.values()) < share * sum(sums.values()) / 8
 
 
 def test_a_group_above_its_share_stands_alone(spark):
