@@ -44,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
     Links may repeat, point either way or join a node to itself; null ends are left
     out.  Without links there are no rows.
     """
-    whole = links.filter("a is not null and b is not null")
+    whole = stage(links.filter("a is not null and b is not null"), "links")
     straight = whole.select(
         F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")
     )
