@@ -59,12 +59,14 @@ def decode_page(html_bytes: Column, content_type: Column | None = None) -> Colum
     """Bytes to text.
 
     The character set comes from the response header, else from the page's own
-    declaration in its first kilobyte, else it is UTF-8.  Western single-byte
+    ``<meta>`` declaration wherever it stands, else it is UTF-8.  Western single-byte
     sets all read as windows-1252; invalid UTF-8 sequences become replacement
     characters, so no page can raise.
     """
-    head = F.decode(F.substring(html_bytes, F.lit(1), F.lit(1024)), "ISO-8859-1")
-    declared = F.regexp_extract(head, "(?i)charset\\s*=\\s*[\"']?\\s*([a-z0-9_:-]+)", 1)
+    bytewise = F.decode(html_bytes, "ISO-8859-1")
+    declared = F.regexp_extract(
+        bytewise, "(?i)<meta\\s[^>]*?charset\\s*=\\s*[\"']?\\s*([a-z0-9_:-]+)", 1
+    )
     if content_type is not None:
         header = F.regexp_extract(
             F.coalesce(content_type, F.lit("")), "(?i)charset\\s*=\\s*[\"']?\\s*([a-z0-9_:-]+)", 1

@@ -87,7 +87,7 @@ def asset_name(url: str) -> Column:
     path = rf"regexp_extract({url}, r'^(?:{_SCHEME}:)?(?://[^/?#]*)?([^?#]*)', 1)"
     safe = rf"regexp_replace(regexp_extract({path}, r'([^/]*)$', 1), r'[^\p{{L}}\p{{N}}._]', '_')"
     return F.expr(rf"""
-      transform(array(named_struct('hash', left(sha2({url}, 256), 16), 'name', {safe})), n -> concat(
+      transform(array(named_struct('hash', sha2({url}, 256), 'name', {safe})), n -> concat(
         n.hash, '_', case
           when n.name = '' or startswith(n.name, '.') then concat('image_', n.hash, '.jpg')
           when not contains(n.name, '.') then concat(n.name, '.jpg')

@@ -26,6 +26,8 @@ SUFFIXES = (".warc", ".warc.gz")
 SPREAD_ABOVE = 4 << 30
 SPREAD_BYTES = 256 << 20
 _BATCH_BYTES = 8 << 20
+# Junk without line ends is read in pieces of this size.
+_LINE_BYTES = 1 << 20
 
 
 def _is_archive(name: str) -> bool:
@@ -71,21 +73,30 @@ def _read_headers(stream) -> dict[str, str]:
 def iter_responses(stream) -> Iterator[tuple]:
     """``(offset, target_uri, http_parsed, content_type, body)`` of each response record.
 
-    Ends silently at the end of the stream; a damaged archive yields one last
-    row without URL and headers in place of what cannot be read.
+    A stretch that is no record yields one row without URL and headers, and reading goes
+    on at the next line that starts a record; so does what a cut end leaves
+    unread.  Errors of the storage are raised: the task fails and runs again.
     """
+    offset, lost = 0, False
     try:
         while True:
             offset = stream.tell()
-            line = stream.readline()
+            line = stream.readline(_LINE_BYTES)
             if not line:
                 return
             if not line.strip():
                 continue
-            if not line.startswith(b"WARC/"):
-                raise ValueError("not a record")
-            headers = _read_headers(stream)
-            length = int(headers["content-length"])
+            length = -1
+            if line.startswith(b"WARC/"):
+                headers = _read_headers(stream)
+                declared = headers.get("content-length", "")
+                length = int(declared) if declared.isascii() and declared.isdigit() else -1
+            if length < 0:
+                if not lost:
+                    yield (offset, None, False, None, None)
+                lost = True
+                continue
+            lost = False
             if headers.get("warc-type", "").lower() != "response":
                 _skip(stream, length)
                 continue
@@ -93,7 +104,7 @@ def iter_responses(stream) -> Iterator[tuple]:
             if len(payload) < length:
                 raise EOFError("record cut off")
             yield (offset, headers.get("warc-target-uri", "").strip("<>"), *_http(payload))
-    except (OSError, EOFError, ValueError, KeyError, gzip.zlib.error):
+    except (gzip.BadGzipFile, EOFError, gzip.zlib.error):
         yield (offset, None, False, None, None)
 
 

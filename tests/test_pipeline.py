@@ -1,4 +1,5 @@
 import gzip
+import io
 import os
 
 import numpy as np
@@ -79,6 +80,32 @@ def test_damaged_archive_keeps_what_came_before(spark, tmp_path):
     assert sum(not r.http_parsed for r in rows) == 2
 
 
+def test_junk_between_records_costs_no_record():
+    whole = record("http://e.com/a", b"x" * 200) + b"junk\r\nmore junk\n" + record("http://e.com/b", b"y" * 200)
+    bad_length = record("http://e.com/c", b"z" * 200).replace(b"Content-Length: ", b"Content-Length: x", 1)
+    stream = warc._Counting(io.BytesIO(whole + bad_length + record("http://e.com/d", b"w" * 200)))
+    uris = [row[1] for row in warc.iter_responses(stream)]
+    assert [u for u in uris if u] == ["http://e.com/a", "http://e.com/b", "http://e.com/d"]
+    assert uris.count(None) == 2
+
+
+def test_storage_errors_are_raised():
+    class Broken(io.BytesIO):
+        def read(self, *size):
+            if self.tell() > 300:
+                raise OSError("connection reset")
+            return super().read(*size)
+
+        def readline(self, *size):
+            if self.tell() > 300:
+                raise OSError("connection reset")
+            return super().readline(*size)
+
+    whole = record("http://e.com/a", b"x" * 200) + record("http://e.com/b", b"y" * 200)
+    with pytest.raises(OSError, match="reset"):
+        list(warc.iter_responses(warc._Counting(Broken(whole))))
+
+
 def test_image_scan(spark, tmp_path):
     (tmp_path / "good.png").write_bytes(png(300, 240, 7))
     (tmp_path / "small.png").write_bytes(png(100, 100, 9))

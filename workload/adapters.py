@@ -12,13 +12,14 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairmine import settings
 from pairmine.functions import text
 from pairmine.operators import contexts as extraction
 from pairmine.operators import enrichment, prediction, store, vocabulary
 from pairmine.operators.skew import hot_keys
 from pairmine.session import spread, work_path
 
-MAX_LEN = 128
+MAX_LEN = settings.MAX_LEN
 
 # Rewrites that put images of every kind into a page.
 PAGE_REWRITES = [

@@ -305,7 +305,7 @@ def pad_and_mask(spark, sf):
 
 
 def encode_inference(spark, sf):
-    encoded = encoding.encode_inference(ad.encoded_texts(spark, sf), ad.MAX_LEN, 50)
+    encoded = encoding.encode_inference(ad.encoded_texts(spark, sf), ad.MAX_LEN, settings.MAX_BEFORE_TOKENS)
     return encoded.select("context_id", "seq_len", _joined("sequence"))
 
 
@@ -335,8 +335,6 @@ def train_span_model(spark, sf):
         parts.filter("part = 'validation'"),
         ad.MAX_LEN,
         reg_params=[0.01, 0.1],
-        max_iter=5,
-        buckets=256,
     )
     path = work_path(spark, "model")
     model.save(path)
@@ -373,7 +371,7 @@ def _arithmetic_scorer():
 
 
 def batch_predict(spark, sf):
-    inputs = encoding.inference_inputs(ad.encoded_texts(spark, sf), ad.MAX_LEN, 50)
+    inputs = encoding.inference_inputs(ad.encoded_texts(spark, sf), ad.MAX_LEN, settings.MAX_BEFORE_TOKENS)
     scored = prediction.predict_logits(inputs, _arithmetic_scorer, ad.MAX_LEN)
     found = prediction.decode_predictions(scored).select(
         "context_id", "predicted_text", "start_token", "end_token", "span_confidence"
@@ -400,7 +398,7 @@ def valid_spans(spark, sf):
 
 
 def decode_spans(spark, sf):
-    encoded = encoding.encode_inference(ad.encoded_texts(spark, sf), ad.MAX_LEN, 50)
+    encoded = encoding.encode_inference(ad.encoded_texts(spark, sf), ad.MAX_LEN, settings.MAX_BEFORE_TOKENS)
     spans_ = encoded.withColumns(
         {
             "start_token": (F.col("context_id") % 60).cast("int"),
