@@ -1,3 +1,81 @@
-"""SQL twins of the queries that SQL can express."""
+"""SQL twins of the queries that SQL can express.
 
-SQL: dict[str, str] = {}
+Packing, sharding, the fingerprints and the classifier are beyond SQL; the line and page
+queries and the conversation digests are tested against brute force instead.
+"""
+
+from __future__ import annotations
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, '{_UPPER}', '{_LOWER}')"
+
+
+_URL_RULES = f"""
+with rules(verdict, host, path) as (values ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+    ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+  rest as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as r from pages),
+  split as (select row_number() over () as n, page_id, {_lower("regexp_extract(r, '^[^/?#]*', 0)")} as host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) as path from rest),
+  fit as (select n, r.host || r.path as rule, r.verdict from split s join rules r
+    on (s.host = r.host or ends_with(s.host, '.' || r.host)) and starts_with(s.path, r.path)),
+  best as (select n, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict from fit group by n)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from split left join best using (n)
+"""
+
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_CONTAMINATION = f"""
+with d as (select row_number() over () as n, doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_WORDS}') as w from documents),
+  b as (select item_id, regexp_extract_all({_lower("text")}, '{_WORDS}') as w from benchmark where text is not null),
+  bk as (select item_id, w, least(10, len(w)) as k from b where len(w) > 0),
+  bw as (select distinct k, item_id, array_to_string(w[i:i + k - 1], ' ') as win
+    from (select item_id, w, k, unnest(range(1, len(w) - k + 2)) as i from bk)),
+  dw as (select n, k, i, array_to_string(w[i:i + k - 1], ' ') as win
+    from (select n, w, k, unnest(range(1, len(w) - k + 2)) as i from d, (select distinct k from bw) where len(w) >= k)),
+  hit as (select n, i, bw.k, item_id from dw join bw on dw.k = bw.k and dw.win = bw.win),
+  covered as (select n, count(*) as n_hit from (select distinct n, unnest(range(i, i + k)) as p from hit) group by n),
+  named as (select n, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct n, cast(item_id as varchar) as item from hit) group by n)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (n) left join named using (n)
+"""
+
+_GAP = r"[ \t\n\x0b\x0c\r]"
+_WORD = r"[^ \t\n\x0b\x0c\r]+"
+_QUALITY = f"""
+with d as (select row_number() over () as n, doc_id, lang, source, coalesce(text, '') as t from documents),
+  w as (select *, regexp_extract_all(t, '{_WORD}') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as l from d),
+  win as (select n, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as v from (select n, w, unnest(range(1, len(w) - 1)) as i from w where len(w) > 2)),
+  twice as (select n, i from (select n, i, count(*) over (partition by n, v) as c from win) where c > 1),
+  rep as (select n, count(*) as r from (select distinct n, unnest([i, i + 1, i + 2]) as p from twice) group by n),
+  base as (select n, doc_id, lang, source, len(w)::bigint as n_words, length(regexp_replace(t, '{_GAP}', '', 'g'))::bigint as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, len(l)::bigint as n_lines,
+    (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(r, 0)::bigint as n_repeat_words from w left join rep using (n)),
+  m as (select *, least(n_symbols * 1000 // greatest(n_words, 1), 10000) as symbol_share, n_dup_lines * 1000 // greatest(n_lines, 1) as dup_line_share,
+    n_repeat_words * 1000 // greatest(n_words, 1) as repeat_share, least(word_chars * 16 // greatest(n_words, 1), 10000) as word_length from base),
+  long as (unpivot m on symbol_share, dup_line_share, repeat_share, word_length into name measure value bucket),
+  ranked as (select *, count(*) over g as sg, row_number() over (g order by bucket) as rg, count(*) over s as ss,
+      row_number() over (s order by bucket) as rs, count(*) over a as sa, row_number() over (a order by bucket) as ra
+    from long window g as (partition by measure, lang, source), s as (partition by measure, lang), a as (partition by measure)),
+  marked as (select *, min(case when 4 * rg >= sg then bucket end) over g as g1, min(case when 4 * rg >= 3 * sg then bucket end) over g as g3,
+      min(case when 4 * rs >= ss then bucket end) over s as s1, min(case when 4 * rs >= 3 * ss then bucket end) over s as s3,
+      min(case when 4 * ra >= sa then bucket end) over a as a1, min(case when 4 * ra >= 3 * sa then bucket end) over a as a3
+    from ranked window g as (partition by measure, lang, source), s as (partition by measure, lang), a as (partition by measure)),
+  picked as (select n, measure, bucket, case when sg >= 30 then g1 when ss >= 30 then s1 else a1 end as q1,
+      case when sg >= 30 then g3 when ss >= 30 then s3 else a3 end as q3,
+      case measure when 'symbol_share' then 50 when 'dup_line_share' then 300 when 'repeat_share' then 200 else 24 end as margin from marked),
+  judged as (select n, bool_or(bucket > q3 + greatest(3 * (q3 - q1), margin)) as outlier from picked group by n)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed,
+  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not outlier as kept
+from base join judged using (n)
+"""
+
+SQL: dict[str, str] = {
+    "op1_url_rules": _URL_RULES,
+    "op4_decontamination": _CONTAMINATION,
+    "op10_quality_rules": _QUALITY,
+}
