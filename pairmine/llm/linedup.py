@@ -26,15 +26,26 @@ from pairmine.session import stage
 NUMERATOR, DENOMINATOR = 4, 5
 MIN_WORDS = 5
 _BUCKETS = 1 << 16
-_GAPS = "[ \\t\\x0b\\x0c\\r]+"
-_ANY_GAPS = "[ \\t\\x0b\\x0c\\r\\n]+"
+#: White space inside a line that is not a blank.
+_OTHER_GAPS = "[\\t\\x0b\\x0c\\r]"
 _LONG_ENOUGH = r"^[ \t\x0b\x0c\r]*+(?:[^ \t\x0b\x0c\r]++[ \t\x0b\x0c\r]++){%d}[^ \t\x0b\x0c\r]" % (MIN_WORDS - 1)
 
 
+def _words(line: Column) -> Column:
+    """Words of a line, and an empty one for each further blank.
+
+    A split at one plain character is far cheaper than at a pattern, and gaps other than
+    blanks are rare.
+    """
+    blanks = F.when(line.rlike(_OTHER_GAPS), F.regexp_replace(line, _OTHER_GAPS, " ")).otherwise(line)
+    return F.split(blanks, " ")
+
+
 def _rarity(docs: DataFrame) -> str:
     """Class of each bucket of word hashes, by the words counted in it."""
     counted = (
-        docs.select(F.explode(F.split("text", _ANY_GAPS)).alias("w"))
+        docs.select(F.explode(_words(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))).alias("w"))
+        .filter("w <> ''")
         .groupBy(F.expr(f"cast(xxhash64(w) & {_BUCKETS - 1}L as int)").alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -56,7 +67,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _sets(lines: DataFrame, classes: str) -> DataFrame:
     """Adds ``r``, the distinct words as numbers, rarest first."""
-    hashes = F.array_distinct(F.transform(F.split("line", _GAPS), lambda w: F.xxhash64(w)))
+    hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))
     words = lines.withColumn("h", F.array_remove(hashes, F.xxhash64(F.lit(""))))
     number = (
         f"transform(h, x -> shiftleft(cast(get(cast(split('{classes}', ',') as array<tinyint>), "
@@ -76,11 +87,27 @@ def _prefix(n: str) -> str:
     return f"{n} - ({NUMERATOR} * {n} + {DENOMINATOR - 1}) div {DENOMINATOR} + 1"
 
 
-def _parity(part: int) -> Column:
-    """64 parity bits of the words of one half of the hash range."""
-    return F.expr(
-        f"aggregate(r, 0L, (s, x) -> s ^ if((x & 64L) = {64 * part}L, shiftleft(1L, cast(x & 63L as int)), 0L))"
-    )
+#: Sets of up to this many words have 64 parity bits, longer ones 128.
+_SHORT_SET = 60
+
+
+def _parity() -> list[Column]:
+    """``s0`` and ``s1``: parity bits of the words.
+
+    A long set has 64 bits for each half of the hash range; a short one has 64 for all
+    words, which is what the two halves of a long one give together.
+    """
+
+    def bits(word: str) -> str:
+        return f"aggregate(r, 0L, (s, x) -> s ^ {word})"
+
+    bit = "shiftleft(1L, cast(x & 63L as int))"
+    low, high = (bits(f"if((x & 64L) = {64 * half}L, {bit}, 0L)") for half in (0, 1))
+    short = f"size(r) <= {_SHORT_SET}"
+    return [
+        F.expr(f"if({short}, {bits(bit)}, {low})").alias("s0"),
+        F.expr(f"if({short}, 0L, {high})").alias("s1"),
+    ]
 
 
 #: Least common words of two similar sets.
@@ -90,7 +117,9 @@ _LENGTHS = (
     f"l.token = e.token and {DENOMINATOR} * l.n >= {NUMERATOR} * e.n and {DENOMINATOR} * e.n >= {NUMERATOR} * l.n"
 )
 _POSSIBLE = f"{_LENGTHS} and least(l.n - l.pos, e.n - e.pos) >= {_OVERLAP}"
-_BITMAPS = f"bit_count(l.s0 ^ e.s0) + bit_count(l.s1 ^ e.s1) <= l.n + e.n - 2 * {_OVERLAP}"
+_BITMAPS = f"""if((l.n <= {_SHORT_SET}) = (e.n <= {_SHORT_SET}),
+    bit_count(l.s0 ^ e.s0) + bit_count(l.s1 ^ e.s1),
+    bit_count(l.s0 ^ l.s1 ^ e.s0 ^ e.s1)) <= l.n + e.n - 2 * {_OVERLAP}"""
 
 
 def _semi(rows: DataFrame, condition: str) -> DataFrame:
@@ -114,8 +143,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
         F.struct("doc_id", "rid", "line_no").alias("at"),
         F.size("r").alias("n"),
         F.expr(f"transform(slice(r, 1, {_prefix('size(r)')}), x -> {_SHORT})").alias("p"),
-        _parity(0).alias("s0"),
-        _parity(1).alias("s1"),
+        *_parity(),
     )
     firsts = [F.first(c).alias(c) for c in ("n", "p", "s0", "s1")]
     sets = stage(described.groupBy("k1", "k2").agg(F.min("at").alias("at"), *firsts), "line-sets")
@@ -139,8 +167,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
         F.struct("doc_id", "rid", "line_no").alias("at"),
         "r",
         F.size("r").alias("n"),
-        _parity(0).alias("s0"),
-        _parity(1).alias("s1"),
+        *_parity(),
     )
     keyed = stage(full, "line-words").join(shared.distinct(), "k1")
     # Both sides need the same columns, so this shuffle is made once, too.
