@@ -42,6 +42,8 @@ RAW_CONTENT = (
     + ")"
 )
 BODY = "(?is)<body" + _TAIL + "(.*)"
+HEAD = "(?is)^.*</head\\s*+>"
+TITLE = "(?i)<title" + _TAIL + _until_close("title") + "(?:</title\\s*+>)?+"
 BODY_TAG = "(?i)<body[\\s/>]"
 IMAGE = "(?i)<img" + _TAIL
 HAS_IMAGE = "(?i)<img[\\s/>]"
@@ -93,15 +95,17 @@ def drop_raw_content(html: Column) -> Column:
     return F.regexp_replace(unmarked, RAW_CONTENT, "")
 
 
-def body_markup(clean_html: Column, implied_body: bool = False) -> Column:
-    """Everything behind the ``<body>`` tag; null without one.
+def body_markup(clean_html: Column, implied_body: bool = True) -> Column:
+    """Everything behind the ``<body>`` tag.
 
-    ``implied_body`` takes the page without its head instead of null.
+    The tag is optional in HTML: without one, the body is the page without its head and
+    title, or null where ``implied_body`` is off.
     """
     explicit = F.when(clean_html.rlike(BODY_TAG), F.regexp_extract(clean_html, BODY, 1))
     if not implied_body:
         return explicit
-    return F.coalesce(explicit, F.regexp_replace(clean_html, "(?is)^.*</head\\s*+>", ""))
+    headless = F.regexp_replace(clean_html, HEAD, "")
+    return F.coalesce(explicit, F.regexp_replace(headless, TITLE, ""))
 
 
 def image_pieces(markup: Column) -> Column:
@@ -146,9 +150,33 @@ def mark_anchors(pieces: str, anchors: str) -> Column:
         substring_index(piece, '{ANCHOR_STOP}', -1))), ''))""")
 
 
+def _drop_unclosed(markup: Column, name: str) -> Column:
+    """Drop the opening tags of an element behind its last closing tag.
+
+    No closing tag can be found for them, and each would be searched to the end of the page.
+    """
+    closing = f"</{name}>"
+
+    def dropped(page: Column) -> Column:
+        tail = F.substring_index(page, closing, -1)
+        head = F.left(page, F.length(page) - F.length(tail))
+        return F.concat(head, F.regexp_replace(tail, f"(?i)<{name}{_TAIL}", " "))
+
+    def cleaned(page: Column) -> Column:
+        uniform = F.regexp_replace(page, f"(?i)</{name}\\s*+>", closing)
+        opened = page.rlike(f"(?i)<{name}[\\s/>]")
+        return F.when(opened, F.transform(F.array(uniform), dropped)[0]).otherwise(page)
+
+    # A variable of a lambda is computed once, however often it is used.
+    return F.transform(F.array(markup), cleaned)[0]
+
+
 def strip_tags(markup: Column) -> Column:
     """Visible text, still with character references and raw white space."""
-    return F.regexp_replace(F.regexp_replace(markup, INLINE_TAG, ""), HIDDEN_OR_TAG, " ")
+    closed = F.regexp_replace(markup, INLINE_TAG, "")
+    for name in HIDDEN_ELEMENTS:
+        closed = _drop_unclosed(closed, name)
+    return F.regexp_replace(closed, HIDDEN_OR_TAG, " ")
 
 
 def context_windows(parts: str, anchors: str, max_chars: int) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html.entities
 import json
+import zlib
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,7 +15,6 @@ WHITESPACE = "[\\s\\p{Z}\\x1c\\x1d\\x1e\\x1f\\x85]+"
 PUNCTUATION = "\\p{Punct}+"
 WORD = "[\\p{L}\\p{N}_]+"
 TOKEN = "[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s\\p{Z}\\x1c\\x1d\\x1e\\x1f\\x85]"
-ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -51,39 +51,75 @@ def hash_ids(tokens: Column, first_id: int, buckets: int) -> Column:
     )
 
 
-def _named_characters() -> str:
-    # The names come from the standard library's table; code points 128 to 159
-    # mean their windows-1252 characters.
-    pairs = {
-        name: chr(point) for name, point in html.entities.name2codepoint.items() if name != "amp"
-    }
-    pairs["apos"] = "'"
-    for point in range(128, 160):
-        char = bytes([point]).decode("cp1252", errors="ignore")
-        if char:
-            pairs[f"#{point}"] = char
-    quoted = ("'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for p in pairs.items() for x in p)
-    return f"map({', '.join(quoted)})"
+_NAME_BUCKETS = 256
 
 
-def decode_entities(column: str) -> Column:
-    """Replace the character references in the text column of that name.
+def _named_character(name: Column) -> Column:
+    """The characters of a reference's name, null for an unknown one.
 
-    One pass collects the distinct references of a text, one replacement each
-    resolves them.  Everything that yields an ampersand is resolved last, so
-    that no reference is decoded twice.
+    The names are those of the standard library's table, in buckets, because a map is
+    searched entry by entry.
     """
-    point = """if(name rlike '^#[xX]', cast(conv(substring(name, 3), 16, 10) as bigint),
-        try_cast(substring(name, 2) as bigint))"""
-    numeric = f"""transform(array({point}), n -> case
-        when n = 38 then '&amp;'
-        when n < 9 or n between 64976 and 65007 then ''
-        when n > 1114111 or n between 55296 and 57343 then '\ufffd'
-        else decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32') end)[0]"""
-    value = f"""transform(array(substring(e, 2, length(e) - 2)), name -> coalesce(
-        try_element_at({_named_characters()}, name), if(startswith(name, '#'), {numeric}, null), e))[0]"""
-    references = f"array_distinct(regexp_extract_all({column}, r'{ENTITY}', 0))"
-    return F.expr(f"""
-      case when contains({column}, '&') then replace(
-        aggregate({references}, {column}, (text, e) -> replace(text, e, {value})), '&amp;', '&')
-      else {column} end""")
+    buckets: list[dict[str, str]] = [{} for _ in range(_NAME_BUCKETS)]
+    for known, chars in html.entities.html5.items():
+        buckets[zlib.crc32(known.encode()) % _NAME_BUCKETS][known] = chars
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
+    return F.try_element_at(F.get(table, (F.crc32(name.cast("binary")) % _NAME_BUCKETS).cast("int")), name)
+
+
+def _numbered_character(point: Column) -> Column:
+    """The character of a code point; 128 to 159 mean their windows-1252 characters."""
+    western = [bytes([p]).decode("cp1252", errors="ignore") or chr(p) for p in range(128, 160)]
+    wide = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+    return (
+        F.when(point.between(128, 159), F.get(F.array(*map(F.lit, western)), (point - 128).cast("int")))
+        .when((point < 9) | point.between(64976, 65007), "")
+        .when((point > 1114111) | point.between(55296, 57343), "\ufffd")
+        .otherwise(wide)
+    )
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def decode_entities(column: str, in_attribute: bool = False) -> Column:
+    """Resolve the character references in the text column of that name, in one pass.
+
+    The text is cut at each ampersand and every piece is resolved by itself, so nothing
+    is decoded twice and the time is linear.  Numbers may have leading zeros, and the
+    semicolon may be missing behind a number or one of the names that need none; inside
+    an attribute such a name counts only if neither a letter, a digit nor ``=`` follows.
+    """
+    bare = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
+    bare_name = f"^(?:{'|'.join(bare)})" + ("(?![=a-zA-Z0-9])" if in_attribute else "")
+
+    def numbered(piece: Column, start: str, digit: str, base: int, most: int) -> Column:
+        digits = F.regexp_extract(piece, f"{start}0*+({digit}*+)", 1)
+        value = F.conv(F.concat(F.lit("0"), digits), base, 10).cast("long")
+        point = F.when(F.length(digits) > most, F.lit(1114112).cast("long")).otherwise(value)
+        return F.concat(_let(point, _numbered_character), F.regexp_replace(piece, f"{start}{digit}++;?+", ""))
+
+    def named(piece: Column) -> Column:
+        def resolved(name: Column, otherwise: Column) -> Column:
+            rest = F.substring(piece, F.length(name) + 1, F.length(piece))
+            return F.coalesce(_let(name, lambda n: F.concat(_named_character(n), rest)), otherwise)
+
+        whole = F.regexp_extract(piece, "^[a-zA-Z][a-zA-Z0-9]*+;", 0)
+        short = F.regexp_extract(piece, bare_name, 0)
+        return resolved(whole, resolved(short, F.concat(F.lit("&"), piece)))
+
+    def decoded(piece: Column, index: Column) -> Column:
+        return (
+            F.when(index == 0, piece)
+            .when(piece.rlike("^#[0-9]"), numbered(piece, "^#", "[0-9]", 10, 7))
+            .when(piece.rlike("^#[xX][0-9a-fA-F]"), numbered(piece, "^#[xX]", "[0-9a-fA-F]", 16, 6))
+            .when(piece.rlike("^[a-zA-Z]"), named(piece))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
+
+    text = F.col(column)
+    return F.when(
+        F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "&", -1), decoded), "")
+    ).otherwise(text)

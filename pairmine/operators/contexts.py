@@ -29,7 +29,7 @@ def enough_words(before: Column, after: Column, min_words: int) -> Column:
 def anchored_pages(
     pages: DataFrame,
     max_images: int = settings.MAX_IMAGES_PER_PAGE,
-    implied_body: bool = False,
+    implied_body: bool = True,
 ) -> DataFrame:
     """Pages with ``anchors`` (one entry per image) and ``marked`` (markup with image marks).
 
@@ -93,7 +93,7 @@ def extract_contexts(
     max_images: int = settings.MAX_IMAGES_PER_PAGE,
     min_context_words: int = settings.MIN_CONTEXT_WORDS,
     max_context_chars: int = settings.MAX_CONTEXT_CHARS,
-    implied_body: bool = False,
+    implied_body: bool = True,
 ) -> DataFrame:
     """Image contexts of pages ``(…origin columns, page_url, html)``.
 
@@ -108,8 +108,8 @@ def extract_contexts(
     enough = windows.filter(enough_words(before, after, min_context_words))
     decoded = enough.withColumns(
         {
-            "src": text.decode_entities("src"),
-            "alt_text": text.decode_entities("raw_alt"),
+            "src": text.decode_entities("src", in_attribute=True),
+            "alt_text": text.decode_entities("raw_alt", in_attribute=True),
         }
     ).drop("raw_alt")
     return decoded.withColumns(

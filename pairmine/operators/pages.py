@@ -15,7 +15,7 @@ def is_html_response(content_type: Column) -> Column:
 
 
 def is_admitted(min_bytes: int = settings.MIN_RECORD_BYTES) -> Column:
-    """Header tests first, the payload test last."""
+    """Tests of the headers and the length; the payload is not read."""
     return (
         F.coalesce(F.col("http_parsed"), F.lit(False))
         & is_html_response(F.col("content_type"))
@@ -23,11 +23,15 @@ def is_admitted(min_bytes: int = settings.MIN_RECORD_BYTES) -> Column:
     )
 
 
-def admit_pages(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -> DataFrame:
-    """Keep parsed HTML responses of at least ``min_bytes`` with a URL and a payload."""
-    return records.filter(
-        is_admitted(min_bytes) & (F.col("page_url") != "") & (F.length("html_bytes") > 0)
-    )
+def admit_pages(
+    records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES, read_payload: bool = True
+) -> DataFrame:
+    """Keep parsed HTML responses of at least ``min_bytes`` with a URL and a payload.
+
+    Without ``read_payload`` the stated length decides, and the scan can leave the pages out.
+    """
+    payload = F.length("html_bytes") if read_payload else F.col("content_length")
+    return records.filter(is_admitted(min_bytes) & (F.col("page_url") != "") & (payload > 0))
 
 
 def decode_pages(records: DataFrame) -> DataFrame:
@@ -37,8 +41,9 @@ def decode_pages(records: DataFrame) -> DataFrame:
     ).drop("html_bytes")
 
 
-def page_bodies(pages: DataFrame, implied_body: bool = False) -> DataFrame:
-    """Pages with their body markup in ``body``; a page without a body is dropped."""
+def page_bodies(pages: DataFrame, implied_body: bool = True) -> DataFrame:
+    """Pages with their body markup in ``body``; undecodable pages are dropped, and
+    pages without a ``<body>`` tag where ``implied_body`` is off."""
     clean = pages.withColumn("clean", markup.drop_raw_content(F.col("html")))
     bodies = clean.withColumn("body", markup.body_markup(F.col("clean"), implied_body))
     return drop_nulls(bodies.drop("clean"), "body")
@@ -61,8 +66,6 @@ def quarantine(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -
     page_reason = (
         F.when(F.coalesce(F.col("page_url"), F.lit("")) == "", "no_page_url")
         .when(~F.coalesce(html.rlike(markup.HAS_IMAGE), F.lit(False)), "no_image_tag")
-        .when(F.col("unmarked").isNull(), "undecodable")
-        .when(~F.col("unmarked").rlike(markup.BODY_TAG), "no_body")
     )
     judged = records.withColumn("header_reason", header_reason)
     decoded = judged.withColumn(
@@ -71,7 +74,7 @@ def quarantine(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -
             F.col("header_reason").isNull(),
             markup.decode_page(F.col("html_bytes"), F.col("content_type")),
         ),
-    ).withColumn("unmarked", markup.drop_raw_content(html))
+    )
     reason = F.coalesce(F.col("header_reason"), page_reason)
     reasons = decoded.select("warc_path", "record_offset", "page_url", reason.alias("reason"))
     return drop_nulls(reasons, "reason")
@@ -87,7 +90,7 @@ def ingest_counters(
     scanned = records.agg(
         F.count(F.lit(1)).alias("records"),
         F.count_if(is_admitted(min_bytes)).alias("html_responses"),
-        F.count_if(is_admitted(min_bytes) & (F.length("html_bytes") > 0)).alias("parsed_pages"),
+        F.count_if(is_admitted(min_bytes) & (F.col("content_length") > 0)).alias("parsed_pages"),
     )
     added = kept.agg(
         F.struct(

@@ -47,7 +47,7 @@ def extract_archives(
         seen,
         F.count(F.lit(1)).alias("records"),
         F.count_if(pages.is_admitted()).alias("html_responses"),
-        F.count_if(pages.is_admitted() & (F.length("html_bytes") > 0)).alias("parsed_pages"),
+        F.count_if(pages.is_admitted() & (F.col("content_length") > 0)).alias("parsed_pages"),
     )
     new = new_contexts(contexts_of_records(records, **limits), root, batch)
     rows = store.to_context_rows(new, mode).observe(

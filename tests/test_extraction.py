@@ -155,10 +155,59 @@ def test_anchor_marks_in_the_input_are_harmless(spark):
 
 def test_body_rule(spark):
     html = "<html><p>text</p><img src='i.png'>more</html>"
-    assert extract(spark, html, min_context_words=1) == []
-    assert len(extract(spark, html, min_context_words=1, implied_body=True)) == 1
+    assert extract(spark, html, min_context_words=1, implied_body=False) == []
+    assert [r.context_before for r in extract(spark, html, min_context_words=1)] == ["text"]
+    headed = "<title>T</title><head><title>U</title></head><p>text</p><img src='i.png'>more"
+    assert [r.context_before for r in extract(spark, headed, min_context_words=1)] == ["text"]
+    headless = "<title>T</title><p>text</p><img src='i.png'>more"
+    assert [r.context_before for r in extract(spark, headless, min_context_words=1)] == ["text"]
 
 
+def test_character_references(spark):
+    import html
+
+    texts = [
+        "&&#97;mp; &l&#116;; &lt;", "&#0000000000233; &#x000000E9; &#233 x", "&nbsp|&copy 2020|&copy2020",
+        "&lpar;&NotEqual;&notit;&notin;", "&unknown; & &; &# &#x &#xZ", "&#150;&#x80;", "&amp;lt; &amp;amp;",
+        "&#99999999999999999999;&#xD800;", "a & b && c", "", "&", "&AMP&LT;", "&CounterClockwiseContourIntegral;",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in df.select(text.decode_entities("t")).collect()]
+    assert found == [html.unescape(t) for t in texts]
+    src = spark.createDataFrame([("?a=1&copy=2&copy;&lt&reg3",)], "t string")
+    assert src.select(text.decode_entities("t", in_attribute=True)).first()[0] == "?a=1&copy=2©<&reg3"
+
+
+@pytest.mark.parametrize("tag", ["label", "button", "select", "noscript"])
+def test_unclosed_hidden_elements_take_linear_time(spark, tag):
+    import time
+
+    def took(element):
+        body = "<img src='i.png'> start " + f"<{element} a='b'>word " * 40_000
+        begin = time.time()
+        rows = extract(spark, page(body), min_context_words=1, max_context_chars=10**6)
+        assert rows[0].context_after == "start" + " word" * 40_000
+        return time.time() - begin
+
+    took("p")
+    assert took(tag) < 5 * took("p") + 2
+
+
+def test_hidden_elements_closed_and_unclosed(spark):
+    body = "<img src='i'>a <LABEL>x</Label >b <label>c <button>y</button> <label>z</label> d <label>e"
+    rows = extract(spark, page(body), min_context_words=1)
+    assert rows[0].context_after == "a b d e"
+
+
+def test_many_references_take_linear_time(spark):
+    import time
+
+    body = "<img src='i.png'>" + "".join(f"&#{n};" for n in range(20_000, 50_000))
+    begin = time.time()
+    rows = extract(spark, page(body), min_context_words=1)
+    assert rows[0].context_after.startswith("".join(map(chr, range(20_000, 20_100))))
+    assert time.time() - begin < 5
+
 def test_result_does_not_depend_on_partitions(spark):
     rng = random.Random(5)
     rows = []
@@ -233,5 +282,5 @@ def test_admission_and_quarantine(spark):
     reasons = {r.record_offset: r.reason for r in pages.quarantine(df).collect()}
     assert reasons == {
         2: "no_http_headers", 3: "no_content_type", 4: "not_html", 5: "too_short",
-        6: "empty_payload", 7: "no_page_url", 8: "no_image_tag", 9: "no_body",
+        6: "empty_payload", 7: "no_page_url", 8: "no_image_tag",
     }

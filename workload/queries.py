@@ -52,7 +52,7 @@ def warc_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_admission(spark, sf):
-    return pages.admit_pages(ad.crawl_records(spark, sf)).select(
+    return pages.admit_pages(ad.crawl_records(spark, sf), read_payload=False).select(
         "record_offset", "page_url", "content_type", "content_length"
     )
 
