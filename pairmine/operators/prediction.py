@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from pairmine import settings
 from pairmine.functions import sequences, spans
+from pairmine.operators.skew import hot_keys, salted_join
 from pairmine.operators.vocabulary import SPECIAL_TOKENS
 
 LOGITS = T.StructType(
@@ -96,16 +97,19 @@ def token_strings(
     """Adds ``sequence_tokens`` where only token ids are there: the strings of the span's ids.
 
     Positions outside the span stay empty, so no more than the span is looked
-    up.  The vocabulary is broadcast only below ``BROADCAST_ROW_LIMIT`` rows.
+    up.  The vocabulary is broadcast only below ``BROADCAST_ROW_LIMIT`` rows; beyond, the
+    most frequent ids of the spans are spread over many tasks.
     """
     lookup = vocabulary.select("token", "token_id")
     rows = vocabulary.count() if vocabulary_rows is None else vocabulary_rows
-    if rows <= settings.BROADCAST_ROW_LIMIT:
-        lookup = F.broadcast(lookup)
     width = F.col("end_token") - F.col("start_token") + 1
     span = sequences.head(F.slice("sequence", F.col("start_token") + 1, F.greatest(width, F.lit(0))), width)
     placed = predicted.select(key, F.posexplode(span).alias("pos", "token_id"))
-    named = placed.join(lookup, "token_id").groupBy(key).agg(
+    if rows <= settings.BROADCAST_ROW_LIMIT:
+        found = placed.join(F.broadcast(lookup), "token_id")
+    else:
+        found = salted_join(placed, lookup, "token_id", key, hot_keys(placed, "token_id"), "inner")
+    named = found.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_entries")
     )
     named = named.select(key, F.col("_entries.token").alias("_words"))

@@ -24,6 +24,7 @@ from pairmine.schemas import METRIC_HISTORY
 
 TOKEN_BUCKETS = 1024
 MAX_DISTANCE = 32
+_ENCODER = "has_vocabulary boolean, max_len int, buckets int"
 _ONE_HOT = ["token_bin", "previous_bin", "next_bin", "distance_bin"]
 
 # Metrics of which the largest value is the best.
@@ -92,16 +93,27 @@ class PointerModel:
     start: LogisticRegressionModel
     end: LogisticRegressionModel
     buckets: int = TOKEN_BUCKETS
+    max_len: int = settings.MAX_LEN
+    vocab: DataFrame | None = None
 
     def save(self, path: str) -> None:
+        """The scorers, and beside them how their token ids are made."""
+        spark = SparkSession.active()
+        if self.vocab is not None:
+            self.vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
+        facts = [(self.vocab is not None, self.max_len, self.buckets)]
+        spark.createDataFrame(facts, _ENCODER).coalesce(1).write.mode("overwrite").json(f"{path}/encoder")
         self.start.write().overwrite().save(f"{path}/start")
         self.end.write().overwrite().save(f"{path}/end")
 
     @staticmethod
     def load(path: str) -> PointerModel:
+        spark = SparkSession.active()
+        facts = spark.read.schema(_ENCODER).json(f"{path}/encoder").first()
+        vocab = spark.read.parquet(f"{path}/vocabulary") if facts["has_vocabulary"] else None
         start = LogisticRegressionModel.load(f"{path}/start")
         end = LogisticRegressionModel.load(f"{path}/end")
-        return PointerModel(start, end, (start.numFeatures - 2 * MAX_DISTANCE - 1) // 3)
+        return PointerModel(start, end, facts["buckets"], facts["max_len"], vocab)
 
     def make_predict_fn(self) -> Callable:
         """Scorer for ``predict_logits``; carries only the coefficients."""

@@ -52,6 +52,8 @@ def train_from_store(
 ) -> DataFrame:
     """Encode, split, train, select and save; returns the metric history.
 
+    The saved model holds ``max_len`` and ``vocab``, so that predictions use the same ids.
+
     The encoded set is written to the ``training_data`` table once and every
     run reads it from there.
     """
@@ -83,6 +85,7 @@ def train_from_store(
     model, history = training.train_span_model(
         spark, train, validation if has_validation else None, max_len, **training_params
     )
+    model.max_len, model.vocab = max_len, vocab
     model.save(model_dir)
     training.write_history(history, f"{model_dir.rstrip('/')}/history")
     return history

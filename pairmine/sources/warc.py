@@ -70,8 +70,10 @@ def _read_headers(stream) -> dict[str, str]:
         headers.setdefault(name.strip().lower(), value.strip())
 
 
-def iter_responses(stream) -> Iterator[tuple]:
-    """``(offset, target_uri, http_parsed, content_type, body)`` of each response record.
+def iter_responses(stream, html_only: bool = False) -> Iterator[tuple]:
+    """``(offset, target_uri, http_parsed, content_type, length, body)`` of each response record.
+
+    With ``html_only`` the bodies of other responses are skipped unread.
 
     A stretch that is no record yields one row without URL and headers, and reading goes
     on at the next line that starts a record; so does what a cut end leaves
@@ -93,19 +95,17 @@ def iter_responses(stream) -> Iterator[tuple]:
                 length = int(declared) if declared.isascii() and declared.isdigit() else -1
             if length < 0:
                 if not lost:
-                    yield (offset, None, False, None, None)
+                    yield (offset, None, False, None, None, None)
                 lost = True
                 continue
             lost = False
             if headers.get("warc-type", "").lower() != "response":
                 _skip(stream, length)
                 continue
-            payload = stream.read(length)
-            if len(payload) < length:
-                raise EOFError("record cut off")
-            yield (offset, headers.get("warc-target-uri", "").strip("<>"), *_http(payload))
+            url = headers.get("warc-target-uri", "").strip("<>")
+            yield (offset, url, *_http(_Record(stream, length), html_only))
     except (gzip.BadGzipFile, EOFError, gzip.zlib.error):
-        yield (offset, None, False, None, None)
+        yield (offset, None, False, None, None, None)
 
 
 def _skip(stream, length: int) -> None:
@@ -116,12 +116,37 @@ def _skip(stream, length: int) -> None:
         length -= len(chunk)
 
 
-def _http(payload: bytes) -> tuple:
-    stream = io.BytesIO(payload)
-    if not stream.readline().startswith(b"HTTP/"):
-        return False, None, payload
-    headers = _read_headers(stream)
-    return True, headers.get("content-type"), stream.read()
+class _Record:
+    """The part of a stream that one record fills."""
+
+    def __init__(self, stream, length: int):
+        self._stream, self.left = stream, length
+
+    def readline(self) -> bytes:
+        line = self._stream.readline(min(self.left, _LINE_BYTES)) if self.left else b""
+        if not line and self.left:
+            raise EOFError("record cut off")
+        self.left -= len(line)
+        return line
+
+    def read(self) -> bytes:
+        data = self._stream.read(self.left) if self.left else b""
+        if len(data) < self.left:
+            raise EOFError("record cut off")
+        self.left = 0
+        return data
+
+
+def _http(record: _Record, html_only: bool) -> tuple:
+    """``(http_parsed, content_type, body length, body)`` of a response; reads all of it."""
+    first = record.readline()
+    parsed = first.startswith(b"HTTP/")
+    content_type = _read_headers(record).get("content-type") if parsed else None
+    length = record.left if parsed else record.left + len(first)
+    if html_only and not (content_type or "").lower().startswith("text/html"):
+        _skip(record._stream, record.left)
+        return parsed, content_type, length, None
+    return parsed, content_type, length, record.read() if parsed else first + record.read()
 
 
 def read_archive(path: str, html_only: bool = True) -> Iterator[pa.RecordBatch]:
@@ -133,10 +158,7 @@ def read_archive(path: str, html_only: bool = True) -> Iterator[pa.RecordBatch]:
     size = 0
     with filesystem.open_input_stream(file_path, compression=None) as raw:
         stream = gzip.GzipFile(fileobj=raw) if name.lower().endswith(".gz") else _Counting(raw)
-        for offset, uri, parsed, content_type, body in iter_responses(stream):
-            length = None if body is None else len(body)
-            if html_only and not (content_type or "").lower().startswith("text/html"):
-                body = None
+        for offset, uri, parsed, content_type, length, body in iter_responses(stream, html_only):
             rows.append((name, offset, uri, parsed, content_type, length, body))
             size += len(body or b"")
             if size >= _BATCH_BYTES or len(rows) >= 1024:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairmine.operators import contexts
+from pairmine.operators import contexts, training, vocabulary
 from pairmine.plans import analyze, enrich, extract, predict, train
 from pairmine.sources import images, tables, warc
 from pairmine.streaming import incremental
@@ -89,6 +89,30 @@ def test_junk_between_records_costs_no_record():
     assert uris.count(None) == 2
 
 
+def test_bodies_that_are_not_html_are_skipped_unread():
+    big = b"b" * (8 << 20)
+
+    def response(kind, body):
+        payload = b"HTTP/1.1 200 OK\r\nContent-Type: " + kind + b"\r\n\r\n" + body
+        head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://e.com/\r\n"
+        return head + b"Content-Length: %d\r\n\r\n" % len(payload) + payload + b"\r\n\r\n"
+
+    class Watched(io.BytesIO):
+        largest = 0
+
+        def read(self, size=-1):
+            data = super().read(size)
+            Watched.largest = max(Watched.largest, len(data))
+            return data
+
+    raw = Watched(response(b"video/mp4", big) + response(b"text/html", b"page"))
+    rows = [row[2:] for row in warc.iter_responses(warc._Counting(raw), html_only=True)]
+    assert rows == [(True, "video/mp4", len(big), None), (True, "text/html", 4, b"page")]
+    assert Watched.largest <= 1 << 20
+    raw.seek(0)
+    assert [row[5] for row in warc.iter_responses(warc._Counting(raw))] == [big, b"page"]
+
+
 def test_storage_errors_are_raised():
     class Broken(io.BytesIO):
         def read(self, *size):
@@ -185,6 +209,36 @@ def test_all_stages(spark, tmp_path):
     assert spark.read.parquet(paths["summary"]).count() == 5
 
 
+def test_a_model_brings_its_vocabulary_and_length(spark, tmp_path):
+    crawl, root, model = str(tmp_path / "crawl"), str(tmp_path / "store"), str(tmp_path / "model")
+    write_crawl(crawl, "one.warc.gz", range(6))
+    extract.extract_archives(spark, crawl, root, "one", mode="training")
+    stored = tables.read_table(spark, root, "image_context")
+    texts = ["context_before", "context_after", "alt_text"]
+    vocabulary.build_vocabulary(stored, texts).write.parquet(str(tmp_path / "vocab"))
+    vocab = spark.read.parquet(str(tmp_path / "vocab"))
+    train.train_from_store(
+        spark, root, model, "set", max_len=64, vocab=vocab, reg_params=[0.01], max_iter=2, buckets=128
+    )
+    loaded = training.PointerModel.load(model)
+    assert (loaded.max_len, loaded.buckets) == (64, 128)
+    assert sorted(loaded.vocab.collect()) == sorted(vocab.collect())
+    trained = tables.read_table(spark, root, "training_data").select("context_id", "input_ids")
+    again = predict.inference_inputs(stored, loaded.max_len, (64 - 3) // 2, loaded.vocab)
+    trained_on = {r.context_id: set(r.input_ids) for r in trained.collect()}
+    applied_to = {r.context_id: r for r in again.collect()}
+    ids = {r.token: r.token_id for r in vocab.collect()}
+    assert trained_on and set(trained_on) <= set(applied_to)
+    for key, seen in trained_on.items():
+        row = applied_to[key]
+        assert seen <= set(row.input_ids) | {0}
+        for number, token in zip(row.input_ids, row.sequence_tokens):
+            assert token in ("[CLS]", "[IMG]", "[SEP]") or ids[token] == number
+    assert predict.predict_from_store(spark, root, model, "p1")["attempted"] == stored.count()
+    with pytest.raises(ValueError, match="length 64"):
+        predict.predict_from_store(spark, root, model, "p2", max_len=128)
+
+
 def test_streams_add_each_thing_once(spark, tmp_path):
     crawl, root = str(tmp_path / "crawl"), str(tmp_path / "store")
     write_crawl(crawl, "one.warc.gz", range(6))
