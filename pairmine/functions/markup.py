@@ -7,7 +7,10 @@ of recursing, and an unclosed tag or quote cannot make it back-track.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Marks a kept image inside the text: START <position> STOP.
@@ -57,13 +60,50 @@ HIDDEN_OR_TAG = (
 ATTRIBUTE = "[^\\s\"'<>/=]++\\s*+=\\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\\s\"'>][^\\s>]*+)"
 
 
-def decode_page(html_bytes: Column, content_type: Column | None = None) -> Column:
+# Declared names of character sets, and the Java names that decode them.
+CHARSETS = {
+    "windows-1250": "windows-1250", "windows-1251": "windows-1251", "cp1251": "windows-1251",
+    "windows-1253": "windows-1253", "windows-1254": "windows-1254", "iso-8859-9": "windows-1254",
+    "windows-1255": "windows-1255", "windows-1256": "windows-1256", "windows-1257": "windows-1257",
+    "windows-1258": "windows-1258", "windows-874": "x-windows-874", "tis-620": "x-windows-874",
+    "iso-8859-2": "ISO-8859-2", "iso-8859-3": "ISO-8859-3", "iso-8859-4": "ISO-8859-4",
+    "iso-8859-5": "ISO-8859-5", "iso-8859-6": "ISO-8859-6", "iso-8859-7": "ISO-8859-7",
+    "iso-8859-8": "ISO-8859-8", "iso-8859-13": "ISO-8859-13", "iso-8859-15": "ISO-8859-15",
+    "koi8-r": "KOI8-R", "koi8-u": "KOI8-U", "ibm866": "IBM866",
+    "shift_jis": "windows-31j", "shift-jis": "windows-31j", "x-sjis": "windows-31j",
+    "euc-jp": "EUC-JP", "iso-2022-jp": "ISO-2022-JP",
+    "gb2312": "GBK", "gbk": "GBK", "gb18030": "GB18030", "big5": "Big5",
+    "euc-kr": "x-windows-949", "ks_c_5601-1987": "x-windows-949",
+}
+
+
+@contextmanager
+def java_charsets(spark: SparkSession) -> Iterator[None]:
+    """Expressions analysed inside may decode every set of the JVM, and replace damaged bytes.
+
+    The session's own settings are as before afterwards; the expressions keep what they saw.
+    """
+    names = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
+    before = [(name, spark.conf.get(name)) for name in names]
+    try:
+        for name in names:
+            spark.conf.set(name, "true")
+        yield
+    finally:
+        for name, value in before:
+            spark.conf.set(name, value)
+
+
+def decode_page(
+    html_bytes: Column, content_type: Column | None = None, all_charsets: bool = False
+) -> Column:
     """Bytes to text.
 
-    The character set comes from the response header, else from the page's own
-    ``<meta>`` declaration wherever it stands, else it is UTF-8.  Western single-byte
-    sets all read as windows-1252; invalid UTF-8 sequences become replacement
-    characters, so no page can raise.
+    The character set comes from a byte-order mark, else from the response header, else
+    from the page's own ``<meta>`` declaration wherever it stands, else it is UTF-8.
+    Western single-byte sets all read as windows-1252; invalid sequences become replacement
+    characters, so no page can raise.  ``all_charsets`` adds the sets of ``CHARSETS`` and
+    UTF-16; the column must then be analysed inside ``java_charsets``.
     """
     bytewise = F.decode(html_bytes, "ISO-8859-1")
     declared = F.regexp_extract(
@@ -82,9 +122,17 @@ def decode_page(html_bytes: Column, content_type: Column | None = None) -> Colum
         "".join(code for code, _ in codes),
         "".join(char for _, char in codes),
     )
-    return F.when(western, single_byte).otherwise(
-        F.make_valid_utf8(html_bytes.cast("string"))
+    unmarked = F.when(
+        F.substring(html_bytes, 1, 3) == F.lit(b"\xef\xbb\xbf"), F.substring(html_bytes, 4, 2**31 - 1)
     )
+    text = F.when(unmarked.isNotNull(), F.make_valid_utf8(unmarked.cast("string")))
+    if all_charsets:
+        known = F.create_map(*[F.lit(name) for pair in CHARSETS.items() for name in pair])
+        other = F.try_element_at(known, F.lower(declared))
+        wide = F.substring(html_bytes, 1, 2).isin(b"\xfe\xff", b"\xff\xfe")
+        text = text.when(wide, F.call_function("decode", html_bytes, F.lit("UTF-16")))
+        text = text.when(other.isNotNull(), F.call_function("decode", html_bytes, other))
+    return text.when(western, single_byte).otherwise(F.make_valid_utf8(html_bytes.cast("string")))
 
 
 def drop_raw_content(html: Column) -> Column:

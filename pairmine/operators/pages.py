@@ -36,9 +36,9 @@ def admit_pages(
 
 def decode_pages(records: DataFrame) -> DataFrame:
     """Replace ``html_bytes`` by the text column ``html``."""
-    return records.withColumn(
-        "html", markup.decode_page(F.col("html_bytes"), F.col("content_type"))
-    ).drop("html_bytes")
+    html = markup.decode_page(F.col("html_bytes"), F.col("content_type"), all_charsets=True)
+    with markup.java_charsets(records.sparkSession):
+        return records.withColumn("html", html).drop("html_bytes")
 
 
 def page_bodies(pages: DataFrame, implied_body: bool = True) -> DataFrame:
@@ -68,13 +68,9 @@ def quarantine(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -
         .when(~F.coalesce(html.rlike(markup.HAS_IMAGE), F.lit(False)), "no_image_tag")
     )
     judged = records.withColumn("header_reason", header_reason)
-    decoded = judged.withColumn(
-        "html",
-        F.when(
-            F.col("header_reason").isNull(),
-            markup.decode_page(F.col("html_bytes"), F.col("content_type")),
-        ),
-    )
+    text = markup.decode_page(F.col("html_bytes"), F.col("content_type"), all_charsets=True)
+    with markup.java_charsets(records.sparkSession):
+        decoded = judged.withColumn("html", F.when(F.col("header_reason").isNull(), text))
     reason = F.coalesce(F.col("header_reason"), page_reason)
     reasons = decoded.select("warc_path", "record_offset", "page_url", reason.alias("reason"))
     return drop_nulls(reasons, "reason")

@@ -254,6 +254,32 @@ def test_decode_page(spark):
     assert out[3].startswith("bad ") and out[3].endswith(" bytes")
 
 
+def test_declared_character_sets(spark):
+    texts = {
+        "windows-1251": "Привет, мир", "koi8-r": "Привет", "iso-8859-2": "Żółć", "shift_jis": "日本語テスト",
+        "gbk": "简体中文", "big5": "繁體中文", "euc-kr": "한국어", "euc-jp": "日本語",
+    }
+    rows = [(t.encode(name), f"text/html; charset={name.upper()}", t) for name, t in texts.items()]
+    rows += [(f'<meta charset="{name}">'.encode() + t.encode(name), None, f'<meta charset="{name}">{t}')
+             for name, t in texts.items()]
+    rows += [
+        ("é".encode("utf-8-sig"), "text/html; charset=iso-8859-1", "é"),
+        ("é日".encode("utf-16"), "text/html", "é日"),
+        (b"\xfe\xff" + "é日".encode("utf-16-be"), None, "é日"),
+        ("é".encode(), "text/html; charset=no-such-set", "é"),
+        (None, "text/html; charset=gbk", None),
+    ]
+    df = spark.createDataFrame([(i, *r[:2]) for i, r in enumerate(rows)], "i int, html_bytes binary, content_type string")
+    decoded = pages.decode_pages(df)
+    assert [r.html for r in decoded.orderBy("i").collect()] == [r[2] for r in rows]
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == "false"
+    damaged = spark.createDataFrame(
+        [(0, "日本".encode("shift_jis") + b"\xff\x81", "text/html; charset=shift_jis")],
+        "i int, html_bytes binary, content_type string",
+    )
+    assert pages.decode_pages(damaged).first().html.startswith("日本")
+
+
 def _record(number, html=b"<body><img src='a'></body>".ljust(200), **changes):
     row = {
         "warc_path": "w", "record_offset": number, "page_url": "http://e.com/", "http_parsed": True,
