@@ -70,12 +70,13 @@ def _sets(lines: DataFrame, classes: str) -> DataFrame:
     hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))
     words = lines.withColumn("h", F.array_remove(hashes, F.xxhash64(F.lit(""))))
     number = (
-        f"transform(h, x -> shiftleft(cast(get(cast(split('{classes}', ',') as array<tinyint>), "
-        f"cast(x & {_BUCKETS - 1}L as int)) as bigint), 58) | shiftrightunsigned(x, 6))"
+        f"transform(h, x -> shiftleft(cast(coalesce(get(cast(split('{classes}', ',') as array<tinyint>), "
+        f"cast(x & {_BUCKETS - 1}L as int)), 0Y) as bigint), 58) | shiftrightunsigned(x, 6))"
     )
+    # Without nulls and in front of the generator, the numbers are sorted by generated code.
+    ordered = words.select("doc_id", "rid", "line_no", F.sort_array(F.expr(number)).alias("ordered"))
     # A generator keeps the numbers from being computed once per use.
-    ordered = F.explode(F.array(F.sort_array(F.expr(number))))
-    return words.select("doc_id", "rid", "line_no", ordered.alias("r"))
+    return ordered.select("doc_id", "rid", "line_no", F.explode(F.array("ordered")).alias("r"))
 
 
 #: The prefixes are joined on 32 bits of a word; equal bits of other words lose nothing.
@@ -88,7 +89,7 @@ def _prefix(n: str) -> str:
 
 
 #: Sets of up to this many words have 64 parity bits, longer ones 128.
-_SHORT_SET = 60
+_SHORT_SET = 100
 
 
 def _parity() -> list[Column]:

@@ -58,3 +58,16 @@ def test_stage_keeps_columns_and_drops_what_is_left_empty(spark):
     kept = linedup.drop_repeated_lines(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_lines_on_both_sides_of_the_short_set_bound(spark):
+    chosen = random.Random(4)
+    size = linedup._SHORT_SET
+    base = [f"w{n}" for n in range(size + 30)]
+    lines = [base[: size + chosen.randint(-25, 30)] for _ in range(12)]
+    for words in lines:
+        for _ in range(chosen.choice([0, 3, 12, 40])):
+            words[chosen.randrange(len(words))] = f"v{chosen.randrange(10**6)}"
+    rows = [(i, " ".join(words)) for i, words in enumerate(lines)]
+    df = spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], DOCS).repartition(3)
+    assert run(df) == brute(rows)
