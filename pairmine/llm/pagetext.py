@@ -5,8 +5,9 @@ sorted by host, path and id, and each is paired with the neighbour of its host w
 path shares more leading segments.  A longest common subsequence aligns the lines
 of the two pages, and lines that both have are deleted.  Lines inside ``<article>`` or
 ``<main>`` are content by the page's own word and are exempt from deletion: pages that
-carry the same article would lose it.  Lines in menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments go in any case.
+carry the same article would lose it.  All other lines stay only if the neighbour does
+not share them, on pages with content elements, too.  Lines in menus, headers, footers,
+sidebars, notices, adverts, forms and reader comments go in any case.
 
 The sort is a range partitioning, so a hot host spreads over many tasks, and a task
 holds three pages at a time.  The first and the last page of a partition have one
@@ -126,13 +127,21 @@ class Page:
         return region
 
     def text(self, shared: set[int]) -> str:
-        """The content lines, or without any, the open lines that no neighbour shares."""
+        """What the page alone calls its text: the content lines, or without any, the open ones."""
         if KEPT in self.regions:
             return "\n".join(x for x, r in zip(self.lines, self.regions, strict=True) if r == KEPT)
         return "\n".join(
             x for k, (x, r) in enumerate(zip(self.lines, self.regions, strict=True)) if r == OPEN and k not in shared
         )
 
+    def main_text(self, shared: set[int]) -> str:
+        """The content lines and the open lines that no neighbour shares, in page order."""
+        return "\n".join(
+            x
+            for k, (x, r) in enumerate(zip(self.lines, self.regions, strict=True))
+            if r == KEPT or (r == OPEN and k not in shared)
+        )
+
     def outside(self) -> list[int]:
         """Numbers of the lines that may be deleted."""
         return [k for k, r in enumerate(self.regions) if r != KEPT]
@@ -187,7 +196,7 @@ def _finish(page: Page, before: Page | None, after: Page | None) -> str:
         mine = page.outside()
         same = common_lines([page.lines[k] for k in mine], [partner.lines[k] for k in partner.outside()])
         shared = {mine[k] for k in same}
-    return page.text(shared)
+    return page.main_text(shared)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]):

@@ -61,3 +61,14 @@ def test_shared_lines_of_the_nearest_page_go(spark):
 def test_same_article_on_two_pages_stays(spark):
     rows = [(i, f"http://h/{i}", "<nav>N</nav><article><p>Shared story</p></article>") for i in range(4)]
     assert {r.text for r in pagetext.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"Shared story"}
+
+
+def test_open_lines_beside_content_elements_are_differenced(spark):
+    rows = [
+        (1, "http://h/1", "<div>Site name</div><article><p>Teaser</p></article><div>First body</div><div>Imprint</div>"),
+        (2, "http://h/2", "<div>Site name</div><article><p>Teaser</p></article><div>Second body</div><div>Imprint</div>"),
+        (3, "http://k/1", "<main>Begin</main><p>and the rest"),
+    ]
+    pages = spark.createDataFrame(rows, PAGES).coalesce(1)
+    got = {r.page_id: r.text for r in pagetext.extract(pages).collect()}
+    assert got == {1: "Teaser\nFirst body", 2: "Teaser\nSecond body", 3: "Begin\nand the rest"}
