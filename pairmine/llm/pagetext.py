@@ -2,23 +2,28 @@
 
 A page becomes its lines: blocks of text with the region they stand in.  Pages are
 sorted by host, path and id, and each is paired with the neighbour of its host whose
-path shares more leading segments.  A longest common subsequence aligns the lines
+path shares more leading segments.  Copies are no neighbours, as they share the main
+text: a run of pages that resemble its first one looks for partners before and behind the
+run, and a page that finds none keeps its lines.  A longest common subsequence aligns the lines
 of the two pages, and lines that both have are deleted.  Lines inside ``<article>`` or
 ``<main>`` are content by the page's own word and are exempt from deletion: pages that
 carry the same article would lose it.  All other lines stay only if the neighbour does
 not share them, on pages with content elements, too.  Lines in menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments go in any case.
 
-The sort is a range partitioning, so a hot host spreads over many tasks, and a task
-holds three pages at a time.  The first and the last page of a partition have one
-neighbour to choose from.
+The sort is a range partitioning, so a hot host spreads over many tasks.  A task holds
+some pages and writes a longer run to a temporary file until the run ends.  The first and
+the last run of a partition have one side to choose from.
 """
 
 from __future__ import annotations
 
 import html
+import pickle
 import re
+import tempfile
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,6 +57,10 @@ _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"
 _SPACE = re.compile(r"[ \t\n\r\f\v ]+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE) for name in RAW}
 OPEN, CLOSED, KEPT = 0, 1, 2
+#: Pages are copies if their lines outside boilerplate share this part of their characters.
+COPY_NUMERATOR, COPY_DENOMINATOR = 4, 5
+#: Characters of a run that are held before they go to a file.
+_HELD = 8_000_000
 
 
 class Page:
@@ -189,6 +198,64 @@ def _nearness(a: Page, b: Page | None) -> int:
     return shared
 
 
+def _is_copy(a: Page, b: Page) -> bool:
+    """Whether the lines outside boilerplate are all or nearly all the same."""
+    mine, other = ([x for x, r in zip(p.lines, p.regions, strict=True) if r != CLOSED] for p in (a, b))
+    if mine == other:
+        return True
+    both = sum(len(x) * n for x, n in (Counter(mine) & Counter(other)).items())
+    either = sum(map(len, mine)) + sum(map(len, other)) - both
+    return COPY_DENOMINATOR * both >= COPY_NUMERATOR * either
+
+
+class _Run:
+    """Pages in a row of one host that are copies of the first one."""
+
+    def __init__(self, first: Page, last: _Run | None):
+        self.first = self.last = first
+        #: Pages that end and begin the runs before, nearest first.
+        self.before: list[Page] = []
+        if last and last.first.host == first.host:
+            self.before = [last.last, last.first, *last.before[:2]]
+        self._pages: list[Page] = []
+        self._held = 0
+        self._file = None
+        self.add(first)
+
+    def takes(self, page: Page) -> bool:
+        return page.host == self.first.host and _is_copy(page, self.first)
+
+    def add(self, page: Page) -> None:
+        self.last = page
+        self._pages.append(page)
+        self._held += 1_000 + sum(map(len, page.lines))
+        if self._held > _HELD:
+            self._file = self._file or tempfile.TemporaryFile()
+            for held in self._pages:
+                pickle.dump((held.page_id, held.url, held.host, held.path, held.lines, held.regions), self._file)
+            self._pages, self._held = [], 0
+
+    def pages(self) -> Iterator[Page]:
+        if self._file:
+            self._file.seek(0)
+            while True:
+                try:
+                    page_id, url, host, path, lines, regions = pickle.load(self._file)
+                except EOFError:
+                    break
+                page = Page(page_id, url, host, path, None)
+                page.lines, page.regions = lines, regions
+                yield page
+            self._file.close()
+        yield from self._pages
+
+    def finish(self, after: Page | None) -> Iterator[tuple]:
+        behind = [after] if after and after.host == self.first.host else []
+        for page in self.pages():
+            before, follows = (next((p for p in side if not _is_copy(page, p)), None) for side in (self.before, behind))
+            yield page.page_id, page.url, _finish(page, before, follows)
+
+
 def _finish(page: Page, before: Page | None, after: Page | None) -> str:
     partner = before if _nearness(page, before) >= _nearness(page, after) else after
     shared: set[int] = set()
@@ -201,7 +268,6 @@ def _finish(page: Page, before: Page | None, after: Page | None) -> str:
 
 def _extract(batches: Iterator[pa.RecordBatch]):
     names = ("page_id", "url", "host", "path", "html")
-    before = page = None
     out: list[tuple] = []
 
     def batch():
@@ -212,20 +278,28 @@ def _extract(batches: Iterator[pa.RecordBatch]):
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["page_id", "url", "text"]
         )
 
+    def finished():
+        last: _Run | None = None
+        for incoming in batches:
+            columns = [incoming.column(incoming.schema.get_field_index(n)) for n in names]
+            for row in zip(*columns, strict=True):
+                page = Page(*[v.as_py() for v in row])
+                if last and last.takes(page):
+                    last.add(page)
+                    continue
+                if last:
+                    yield from last.finish(page)
+                last = _Run(page, last)
+        if last:
+            yield from last.finish(None)
+
     held = 0
-    for incoming in batches:
-        columns = [incoming.column(incoming.schema.get_field_index(n)) for n in names]
-        for row in zip(*columns, strict=True):
-            after = Page(*[v.as_py() for v in row])
-            if page is not None:
-                out.append((page.page_id, page.url, _finish(page, before, after)))
-                held += len(out[-1][2])
-            before, page = page, after
-            if held > 4_000_000:
-                yield batch()
-                held = 0
-    if page is not None:
-        out.append((page.page_id, page.url, _finish(page, before, None)))
+    for row in finished():
+        out.append(row)
+        held += len(row[2])
+        if held > 4_000_000:
+            yield batch()
+            held = 0
     yield batch()
 
 

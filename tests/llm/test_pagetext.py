@@ -72,3 +72,32 @@ def test_open_lines_beside_content_elements_are_differenced(spark):
     pages = spark.createDataFrame(rows, PAGES).coalesce(1)
     got = {r.page_id: r.text for r in pagetext.extract(pages).collect()}
     assert got == {1: "Teaser\nFirst body", 2: "Teaser\nSecond body", 3: "Begin\nand the rest"}
+
+
+def test_copies_do_not_wipe_each_other_out(spark):
+    def markup(body):
+        return f"<div>Site name</div>{body}<div>Imprint</div>"
+
+    story = [f"Line {n} of a story that is told more than once" for n in range(12)]
+    body = "".join(f"<p>{x}</p>" for x in story)
+    changed = "".join(f"<p>{x}</p>" for x in [*story[:5], "A correction", *story[6:]])
+    rows = [(1, "http://h/a/1", markup(body)), (1, "http://h/a/1", markup(body)), (2, "http://h/a/1?utm_source=x", markup(body))]
+    rows += [(3, "http://h/a/2", markup(changed)), (4, "http://h/b/9", markup("<p>Something else</p>"))]
+    rows += [(k, f"http://k/{k}", markup(body)) for k in (5, 6)]
+    pages = spark.createDataFrame(rows, PAGES).coalesce(1)
+    whole, other = "\n".join(story), "\n".join([*story[:5], "A correction", *story[6:]])
+    alone = f"Site name\n{whole}\nImprint"
+    expected = [(1, whole), (1, whole), (2, whole), (3, other), (4, "Something else"), (5, alone), (6, alone)]
+    assert sorted((r.page_id, r.text) for r in pagetext.extract(pages).collect()) == expected
+
+
+def test_a_long_run_of_copies_goes_through_a_file(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(pagetext, "_HELD", 3_000)
+    rows = [(k, "", "h", f"/a/{k:03}", "<div>Site name</div><p>The story of all copies</p>") for k in range(50)]
+    rows.append((50, "", "h", "/b", "<div>Site name</div><p>Quite another thing</p>"))
+    names = ["page_id", "url", "host", "path", "html"]
+    given = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+    got = [tuple(r.values()) for b in pagetext._extract(iter([given])) for r in b.to_pylist()]
+    assert got == [(k, "", "The story of all copies") for k in range(50)] + [(50, "", "Quite another thing")]
