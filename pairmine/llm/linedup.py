@@ -3,8 +3,9 @@
 A line is the set of its words, which white space separates.  A line is removed if an
 earlier line (by doc_id, then line number) has a Jaccard similarity of at least
 ``NUMERATOR`` / ``DENOMINATOR`` with it, whether or not that earlier line stays.  Lines
-of fewer than ``MIN_WORDS`` words are left alone.  Words are compared by
-their 64-bit hashes, of which 58 bits count.
+of fewer than ``min_words`` words are left alone; with ``ALL_LINES``, which the query and
+the stage use, these are the blank ones.  Words are compared by their 64-bit hashes, of
+which 58 bits count.
 
 Equal sets are one row from the start, however often they occur.  The words of a set
 are ordered by rarity, taken from word counts in a fixed number of hash buckets (any
@@ -25,10 +26,17 @@ from pairmine.session import stage
 
 NUMERATOR, DENOMINATOR = 4, 5
 MIN_WORDS = 5
+#: Every line with a word takes part.
+ALL_LINES = 1
 _BUCKETS = 1 << 16
 #: White space inside a line that is not a blank.
 _OTHER_GAPS = "[\\t\\x0b\\x0c\\r]"
-_LONG_ENOUGH = r"^[ \t\x0b\x0c\r]*+(?:[^ \t\x0b\x0c\r]++[ \t\x0b\x0c\r]++){%d}[^ \t\x0b\x0c\r]" % (MIN_WORDS - 1)
+
+
+def _long_enough(line: Column, min_words: int) -> Column:
+    gap = r" \t\x0b\x0c\r"
+    more = f"(?:[^{gap}]++[{gap}]++){{{min_words - 1}}}" if min_words > 1 else ""
+    return line.rlike(f"^[{gap}]*+{more}[^{gap}]")
 
 
 def _words(line: Column) -> Column:
@@ -55,14 +63,14 @@ def _rarity(docs: DataFrame) -> str:
     return ",".join(classes)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     """(doc_id, rid, line_no, line) of the lines with enough words."""
     split = docs.select(
         "doc_id",
         F.xxhash64("doc_id", "text").alias("rid"),
         F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
     )
-    return split.filter(F.col("line").rlike(_LONG_ENOUGH))
+    return split.filter(_long_enough(F.col("line"), min_words))
 
 
 def _sets(lines: DataFrame, classes: str) -> DataFrame:
@@ -128,7 +136,7 @@ def _semi(rows: DataFrame, condition: str) -> DataFrame:
     return rows.alias("l").hint("merge").join(rows.alias("e"), F.expr(condition), "left_semi")
 
 
-def kept_lines(docs: DataFrame) -> DataFrame:
+def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, rid, kept): per document, the numbers of its lines of enough words that stay.
 
     ``rid`` is the hash of doc_id and text and tells rows of equal doc_id apart; rows that
@@ -138,7 +146,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     classes = _rarity(docs)
-    described = _sets(_lines(docs), classes).select(
+    described = _sets(_lines(docs, min_words), classes).select(
         F.xxhash64("r").alias("k1"),
         F.xxhash64(F.lit(1), "r").alias("k2"),
         F.struct("doc_id", "rid", "line_no").alias("at"),
@@ -160,7 +168,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     places = sized(maybe.select("k1", "k2", F.xxhash64("at").alias("place"), "at"), "line-places")
     holders = sized(maybe.select(F.col("at.rid").alias("rid")).distinct(), "line-holders")
     held = docs.withColumn("rid", F.xxhash64(F.col("doc_id"), "text")).join(holders, "rid", "left_semi").drop("rid")
-    lines = _lines(held).withColumn("place", F.xxhash64(F.struct("doc_id", "rid", "line_no")))
+    lines = _lines(held, min_words).withColumn("place", F.xxhash64(F.struct("doc_id", "rid", "line_no")))
     found = lines.join(places, "place").filter(F.col("at") == F.struct("doc_id", "rid", "line_no"))
     full = _sets(found.select("doc_id", "rid", "line_no", "line"), classes).select(
         F.xxhash64("r").alias("k1"),
@@ -180,14 +188,14 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     return first.groupBy("at.doc_id", "at.rid").agg(F.collect_list("at.line_no").alias("kept"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text) with the repeated lines taken out of ``text``.
 
     Adds ``n_lines`` and ``n_removed``.  The text of a document that loses no line is
     unchanged, null stays null, empty texts have one empty line, all other columns are
     kept and no rows give no rows.
     """
-    kept = kept_lines(docs)
+    kept = kept_lines(docs, min_words)
     facts = sized(
         kept.select(F.col("doc_id").alias("_of"), F.col("rid").alias("_rid"), F.col("kept").alias("_kept")),
         "line-kept",
@@ -199,7 +207,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     listed = joined.withColumn("_lines", F.split("text", "\n"))
     staying = F.filter(
         F.col("_lines"),
-        lambda line, i: ~line.rlike(_LONG_ENOUGH) | F.coalesce(F.array_contains(F.col("_kept"), i), F.lit(False)),
+        lambda line, i: ~_long_enough(line, min_words) | F.coalesce(F.array_contains(F.col("_kept"), i), F.lit(False)),
     )
     stays = listed.withColumn("_stay", F.explode(F.array(staying)))
     removed = F.size("_lines") - F.size("_stay")
@@ -216,7 +224,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
     A document of which nothing but blank lines is left goes.
     """
-    cleaned = dedup_lines(docs)
+    cleaned = dedup_lines(docs, ALL_LINES)
     kept = cleaned.filter((F.col("n_removed") == 0) | F.col("text").rlike("[^ \\t\\x0b\\x0c\\r\\n]"))
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.select(*[length.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])

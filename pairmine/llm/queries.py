@@ -84,9 +84,8 @@ def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return linedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text")).select(
-        "doc_id", "n_lines", "n_removed", "text"
-    )
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return linedup.dedup_lines(docs, linedup.ALL_LINES).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:

@@ -71,3 +71,31 @@ def test_lines_on_both_sides_of_the_short_set_bound(spark):
     rows = [(i, " ".join(words)) for i, words in enumerate(lines)]
     df = spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], DOCS).repartition(3)
     assert run(df) == brute(rows)
+
+
+def test_lines_of_few_words_are_compared_too(spark):
+    chosen = random.Random(5)
+    rows = [
+        (i, "\n".join(" ".join(chosen.choice("abcdefg") for _ in range(chosen.randint(0, 6))) for _ in range(6)))
+        for i in range(30)
+    ]
+    rows += [(30, "p q r s"), (31, "p q r s t"), (32, "p  q\tr"), (33, "r q p q"), (34, "没有空格的一行"), (35, "没有空格的一行")]
+    df = spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], DOCS).repartition(3)
+    got = sorted((r.doc_id, r.text) for r in linedup.dedup_lines(df, linedup.ALL_LINES).collect())
+    earlier, expected = [], []
+    for i, text in rows:
+        stay = []
+        for line in text.split("\n"):
+            words = set(line.split())
+            if not words or not any(5 * len(words & o) >= 4 * len(words | o) for o in earlier):
+                stay.append(line)
+            if words:
+                earlier.append(words)
+        expected.append((i, "\n".join(stay)))
+    assert got == expected
+
+
+def test_stage_drops_a_copy_with_short_lines(spark):
+    text = "A title\none line of some words\nThe end"
+    docs = spark.createDataFrame([(1, text, "en", "s", 36), (2, text, "en", "s", 36)], DOCS)
+    assert [r.doc_id for r in linedup.drop_repeated_lines(docs).collect()] == [1]
