@@ -7,17 +7,20 @@ from pyspark.sql import functions as F
 
 from pairmine.llm import (
     chat,
+    collocations,
     decontaminate,
     linedup,
+    mixing,
     packing,
     pagetext,
     quality,
     rules,
+    runs,
     sharding,
     simhash,
     urlrules,
 )
-from pairmine.llm.common import table
+from pairmine.llm.common import table, words
 
 
 def vocabulary_path() -> str:
@@ -123,6 +126,42 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """Repeats words at the end of the texts whose id has a checksum divisible by ten."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    first = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, words(F.col("text"))))
+    sized = first.withColumn("n", F.size("w").cast("long")).withColumn("g", F.floor(F.col("h") / 10))
+    start = sized.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = F.lit(1) + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    given = start.withColumn("p", period)
+    repeated = F.expr("array_join(transform(sequence(0L, n - 1), i -> w[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')")
+    return given.select("doc_id", F.when(F.col("p").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.find_runs(_planted(table(spark, sf, "documents").select("doc_id", "text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+def op13_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    weights = mixing.quality_weights(table(spark, sf, "labels"))
+    return mixing.mix(table(spark, sf, "documents"), weights)
+
+
 QUERIES = {
     "op1_url_rules": op1_url_rules,
     "op2_packing": op2_packing,
@@ -134,4 +173,7 @@ QUERIES = {
     "op8_page_text": op8_page_text,
     "op9_quality": op9_quality,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_collocations": op12_collocations,
+    "op13_source_mix": op13_source_mix,
 }
