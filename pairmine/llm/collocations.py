@@ -3,16 +3,16 @@
 Tasks count the phrases of one to three words of their share of the texts and build a
 weighted acyclic automaton (``transducers``) from the sorted phrases of every prefix
 range.  The automata of a range meet in one task, which unites them and sums the weights;
-only phrases found often enough are kept, and whatever part of a candidate is looked up
-occurs at least as often.  The parts that the candidates of a range need are sent as
-automata to the ranges that hold them, composed with the counts there, and sent back.  A
-request also carries the count of the longest phrase that asks, so a range learns
-which of its candidates lie inside longer ones.
+only phrases found often enough are kept, as whatever part of a candidate is looked up
+occurs at least as often.  The kept phrases of some ranges make a shelf.  The parts that its
+candidates need are sent as automata to the shelves that hold them, composed with the counts
+there, and sent back.  A request also carries the largest count of the phrases that ask, so
+a shelf learns which of its candidates lie inside longer ones.
 
 A prefix range is an interval of the first two words.  Its bounds come from a bounded sample
 (``SAMPLE_DOCS``) and decide only which task sums what.  Beyond ``MAX_RANGES`` a range is
 divided by a hash of the first two words.  A phrase costs a task one entry however often it
-occurs, and a word one request per range however many candidates hold it, so hot words and
+occurs, and a word one request per shelf however many candidates hold it, so hot words and
 pairs need no salt.
 """
 
@@ -40,6 +40,8 @@ UNKNOWN = "und"
 SHARD_WORDS = 3_000_000
 RANGE_WORDS = 500_000
 MAX_RANGES = 4_096
+#: Ranges whose frequent phrases are looked up together.
+SHELF_RANGES = 16
 SAMPLE_DOCS = 4_000
 _SAMPLE_EACH = 64
 _SAMPLE_MOST = 256
@@ -105,21 +107,22 @@ def _parts(phrases: Phrases, ranges: tuple[list[tuple[bytes, bytes]], int]) -> l
         equal = i < len(known) and known[i] == one
         edges.append(i * width + (bisect.bisect_left(known, two) + 1 if equal and two else 0))
     edges = np.array(sorted(edges), dtype=np.int64)
-    mixed = np.array([zlib.crc32(w) for w in known], dtype=np.int64) if classes > 1 else None
+    hashed = np.array([zlib.crc32(w) for w in known], dtype=np.int64) if classes > 1 else None
     out = []
     for columns in phrases.columns:
         second = columns[1] + 1 if len(columns) > 2 else np.zeros(len(columns[-1]), dtype=np.int64)
         part = np.searchsorted(edges, columns[0] * width + second, side="right")
-        if mixed is not None:
-            tail = np.append(mixed, 0)[second - 1] if len(second) else second
-            part = part * classes + (mixed[columns[0]] * 31 + tail) % classes
+        if hashed is not None:
+            part = part * classes + (hashed[columns[0]] * 31 + np.append(hashed, 0)[second - 1]) % classes
         out.append(part)
     return out
 
 
-def _slices(phrases: Phrases, ranges: tuple[list[tuple[bytes, bytes]], int]) -> Iterator[tuple[int, bytes]]:
-    """An automaton for each part that has phrases."""
-    parts = _parts(phrases, ranges)
+def _slices(
+    phrases: Phrases, ranges: tuple[list[tuple[bytes, bytes]], int], together: int = 1
+) -> Iterator[tuple[int, bytes]]:
+    """An automaton for each part, or for so many parts ``together``, that has phrases."""
+    parts = [p // together for p in _parts(phrases, ranges)]
     orders = [np.argsort(p, kind="stable") for p in parts]
     rows = [p[o] for p, o in zip(parts, orders, strict=True)]
     for part in np.unique(np.concatenate(rows)).tolist():
@@ -222,27 +225,37 @@ def _asked(phrases: Phrases, least: int) -> Phrases:
     return Phrases(phrases.words, [single, pair, none])
 
 
-def _unite(ranges: Ranges, least: int):
-    """Makes the automaton of a range, its number of words, and its requests."""
+def _unite(least: int):
+    """Makes the automaton of the frequent phrases of a range, and its number of words."""
 
     def run(table: pa.Table) -> pa.Table:
         lang, part = table["lang"][0].as_py(), table["part"][0].as_py()
         phrases = union(_rows_of(table, "counts"))
-        total = int(phrases.columns[0][-1].sum())
+        rows = [(lang, part, "total", int(phrases.columns[0][-1].sum()), None)]
         often = phrases.select([c[-1] >= least for c in phrases.columns])
-        rows = [(lang, part, "total", total, None)]
-        if any(len(c[-1]) for c in often.columns):
-            rows.append((lang, part, "kept", part, Transducer.build(often).to_bytes()))
-            asked = _asked(often, least)
-            if len(asked.columns[0][-1]):
-                rows += [(lang, to, "asked", part, d) for to, d in _slices(asked, ranges.get(lang, ([], 1)))]
+        if len(often.words):
+            rows.append((lang, part, "often", part, Transducer.build(often).to_bytes()))
+        return pa.Table.from_batches([_records(rows)])
+
+    return run
+
+
+def _ask(ranges: Ranges, least: int):
+    """Makes the automaton of a shelf, the frequent phrases of some ranges, and its requests."""
+
+    def run(table: pa.Table) -> pa.Table:
+        lang, shelf = table["lang"][0].as_py(), table["part"][0].as_py()
+        often = union(_rows_of(table, "often"))
+        asked = _slices(_asked(often, least), ranges.get(lang, ([], 1)), SHELF_RANGES)
+        rows = [(lang, shelf, "kept", shelf, Transducer.build(often).to_bytes())]
+        rows += [(lang, to, "asked", shelf, data) for to, data in asked]
         return pa.Table.from_batches([_records(rows)])
 
     return run
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """The counts of what other ranges ask for, and the largest count that asks for each own pair."""
+    """The counts of what other shelves ask for, and the largest count that asks for each own pair."""
     lang, part = table["lang"][0].as_py(), table["part"][0].as_py()
     counts = _rows_of(table, "kept")
     asked = table.filter(pa.compute.equal(table["kind"], "asked"))
@@ -261,7 +274,7 @@ def _answer(table: pa.Table) -> pa.Table:
 
 
 def _score(least: int, inside: tuple[int, int]):
-    """Makes the rows (lang, phrase, a, l, r, score) of the candidates of a range."""
+    """Makes the rows (lang, phrase, a, l, r, score) of the candidates of a shelf."""
 
     def run(table: pa.Table) -> pa.Table:
         kept = _rows_of(table, "kept")
@@ -328,10 +341,11 @@ def collocations(
     given = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     ranges = _ranges_of(given)
     grouped = ("lang", "part")
-    united = stage(_count(given, ranges).groupBy(*grouped).applyInArrow(_unite(ranges, least), _SLICE), "phrase-counts")
-    sent = united.filter("kind in ('kept', 'asked')")
-    answers = stage(sent.groupBy(*grouped).applyInArrow(_answer, _SLICE), "phrase-answers")
-    told = united.filter("kind = 'kept'").unionByName(answers)
+    united = stage(_count(given, ranges).groupBy(*grouped).applyInArrow(_unite(least), _SLICE), "phrase-counts")
+    often = united.filter("kind = 'often'").withColumn("part", F.floor(F.col("part") / SHELF_RANGES))
+    shelves = stage(often.groupBy(*grouped).applyInArrow(_ask(ranges, least), _SLICE), "phrase-shelves")
+    answers = stage(shelves.groupBy(*grouped).applyInArrow(_answer, _SLICE), "phrase-answers")
+    told = shelves.filter("kind = 'kept'").unionByName(answers)
     scored = told.groupBy(*grouped).applyInArrow(
         _score(least, inside), "lang string, phrase string, a long, l long, r long, score long"
     )
