@@ -61,9 +61,12 @@ def page_texts(anchored: DataFrame) -> DataFrame:
 
 
 def image_windows(
-    anchored_texts: DataFrame, max_context_chars: int = settings.MAX_CONTEXT_CHARS
+    anchored_texts: DataFrame, max_context_chars: int = settings.MAX_CONTEXT_CHARS, tag: str | None = None
 ) -> DataFrame:
-    """One row per kept image with the text on both sides of it."""
+    """One row per kept image with the text on both sides of it.
+
+    A page without an image gives no row, or one if its column ``tag`` is set.
+    """
     parts = anchored_texts.withColumn(
         "parts", F.split("page_text", markup.ANCHOR_START, -1)
     ).drop("page_text")
@@ -73,7 +76,7 @@ def image_windows(
     # The outer form: the plain one would make the optimizer test the array's
     # size in a copy of the whole expression below.
     exploded = windows.select(*_origin(anchored_texts), F.explode_outer("windows").alias("w"))
-    return exploded.filter(F.col("w").isNotNull()).select(
+    return exploded.filter(_or_tagged(F.col("w").isNotNull(), tag)).select(
         *_origin(anchored_texts),
         F.col("w.pos").alias("img_pos"),
         F.col("w.src").alias("src"),
@@ -83,6 +86,10 @@ def image_windows(
     )
 
 
+def _or_tagged(condition: Column, tag: str | None) -> Column:
+    return condition if tag is None else condition | F.col(tag).isNotNull()
+
+
 def _origin(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("anchors", "page_text", "parts", "windows")]
 
@@ -94,18 +101,22 @@ def extract_contexts(
     min_context_words: int = settings.MIN_CONTEXT_WORDS,
     max_context_chars: int = settings.MAX_CONTEXT_CHARS,
     implied_body: bool = True,
+    tag: str | None = None,
 ) -> DataFrame:
     """Image contexts of pages ``(…origin columns, page_url, html)``.
 
     Adds ``img_pos, image_url, alt_text, context_before, context_after,
     found_alt_in_context``; the origin columns pass through.  No shuffle.
+
+    With ``tag``, the pages on which that origin column is set come along, too: one row each,
+    without a context.  Their ``html`` must be null.
     """
     anchored = anchored_pages(pages, max_images, implied_body).withColumn(
         "page_parts", urls.url_parts("page_url")
     )
-    windows = image_windows(page_texts(anchored), max_context_chars)
+    windows = image_windows(page_texts(anchored), max_context_chars, tag)
     before, after = F.col("context_before"), F.col("context_after")
-    enough = windows.filter(enough_words(before, after, min_context_words))
+    enough = windows.filter(_or_tagged(enough_words(before, after, min_context_words), tag))
     decoded = enough.withColumns(
         {
             "src": text.decode_entities("src", in_attribute=True),

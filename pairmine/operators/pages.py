@@ -31,7 +31,12 @@ def admit_pages(
     Without ``read_payload`` the stated length decides, and the scan can leave the pages out.
     """
     payload = F.length("html_bytes") if read_payload else F.col("content_length")
-    return records.filter(is_admitted(min_bytes) & (F.col("page_url") != "") & (payload > 0))
+    kept = records.filter((F.col("page_url") != "") & (payload > 0))
+    if "media_type" in records.columns:
+        # Plain comparisons, which a source can take over.
+        kind = F.col("media_type").startswith("text/html")
+        return kept.filter(F.col("http_parsed") & kind & (F.col("content_length") >= min_bytes))
+    return kept.filter(is_admitted(min_bytes))
 
 
 def decode_pages(records: DataFrame) -> DataFrame:
@@ -49,15 +54,16 @@ def page_bodies(pages: DataFrame, implied_body: bool = True) -> DataFrame:
     return drop_nulls(bodies.drop("clean"), "body")
 
 
-def quarantine(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -> DataFrame:
-    """Records that cannot yield any context, with the reason.
+def judge_records(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -> DataFrame:
+    """Records with ``html`` instead of the payload, and ``reason``: why one cannot yield any context.
 
-    The tests read the header columns first; only records that pass them are
-    decoded.
+    The tests read the header columns first; only records that pass them are decoded.
     """
     html = F.col("html")
+    damage = F.col("damage") if "damage" in records.columns else F.lit(None).cast("string")
     header_reason = (
-        F.when(~F.coalesce(F.col("http_parsed"), F.lit(False)), "no_http_headers")
+        F.when(damage.isNotNull(), F.concat(F.lit("damaged: "), damage))
+        .when(~F.coalesce(F.col("http_parsed"), F.lit(False)), "no_http_headers")
         .when(F.coalesce(F.col("content_type"), F.lit("")) == "", "no_content_type")
         .when(~is_html_response(F.col("content_type")), "not_html")
         .when(F.coalesce(F.col("content_length"), F.lit(0)) < min_bytes, "too_short")
@@ -72,8 +78,17 @@ def quarantine(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -
     with markup.java_charsets(records.sparkSession):
         decoded = judged.withColumn("html", F.when(F.col("header_reason").isNull(), text))
     reason = F.coalesce(F.col("header_reason"), page_reason)
-    reasons = decoded.select("warc_path", "record_offset", "page_url", reason.alias("reason"))
-    return drop_nulls(reasons, "reason")
+    return decoded.select("warc_path", "record_offset", "page_url", "html", reason.alias("reason"))
+
+
+def quarantine(records: DataFrame, min_bytes: int = settings.MIN_RECORD_BYTES) -> DataFrame:
+    """Records that cannot yield any context, with the reason."""
+    return drop_nulls(judge_records(records, min_bytes).drop("html"), "reason")
+
+
+def is_damaged(records: DataFrame) -> Column:
+    """The row stands for something in the archive that is no record."""
+    return F.col("damage").isNotNull() if "damage" in records.columns else F.lit(False)
 
 
 def ingest_counters(
@@ -82,9 +97,10 @@ def ingest_counters(
     kept: DataFrame,
     min_bytes: int = settings.MIN_RECORD_BYTES,
 ) -> DataFrame:
-    """One row: records, HTML responses, parsed pages, extracted, added and marked contexts."""
+    """One row: records, damaged places, HTML responses, parsed pages, extracted, added and marked contexts."""
     scanned = records.agg(
-        F.count(F.lit(1)).alias("records"),
+        F.count_if(~is_damaged(records)).alias("records"),
+        F.count_if(is_damaged(records)).alias("damaged"),
         F.count_if(is_admitted(min_bytes)).alias("html_responses"),
         F.count_if(is_admitted(min_bytes) & (F.col("content_length") > 0)).alias("parsed_pages"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pairmine.operators import contexts, pages, store
-from pairmine.session import stage
+from pairmine.session import scratch, stage
 from pairmine.sources import tables, warc
 
 
@@ -17,13 +17,13 @@ def contexts_of_records(records: DataFrame, **limits) -> DataFrame:
     return contexts.extract_contexts(decoded, **limits)
 
 
-def new_contexts(found: DataFrame, root: str, batch: str) -> DataFrame:
+def new_contexts(found: DataFrame, root: str, batch: str, folder: str | None = None) -> DataFrame:
     """Deduplicated contexts that no other batch of the table holds.
 
-    The deduplicated contexts are staged, so pages are parsed once whatever
-    happens later, and their number decides how the stored keys are looked up.
+    The deduplicated contexts are staged (below ``folder``, which the caller removes), so pages are
+    parsed once whatever happens later, and their number decides how the stored keys are looked up.
     """
-    staged = stage(store.dedup_contexts(found), "contexts")
+    staged = stage(store.dedup_contexts(found), "contexts", folder)
     stored = tables.read_table(found.sparkSession, root, "image_context", without_batch=batch)
     return store.insert_new(staged, stored, "context_id", staged.count())
 
@@ -39,21 +39,43 @@ def extract_archives(
 ) -> dict[str, int]:
     """Run extraction over a file or folder of archives and add the new contexts.
 
-    Returns the counters of the run, observed on the way: no second pass.
+    One pass over the archives has two outcomes: contexts, and records that cannot yield any.
+    Both are written side by side, partitioned by outcome; the latter go to the table
+    ``quarantine`` with their reason.  Returns the counters of the run, observed on the way.
+    Nothing staged is left behind.
     """
     tables.create_tables(spark, root)
-    seen, added = Observation("records"), Observation("contexts")
-    records = warc.read_warc(spark, archives, recursive).observe(
+    seen, added, held_back = Observation("records"), Observation("contexts"), Observation("quarantine")
+    records = warc.read_warc(spark, archives, recursive)
+    records = records.observe(
         seen,
-        F.count(F.lit(1)).alias("records"),
+        F.count_if(~pages.is_damaged(records)).alias("records"),
+        F.count_if(pages.is_damaged(records)).alias("damaged"),
         F.count_if(pages.is_admitted()).alias("html_responses"),
         F.count_if(pages.is_admitted() & (F.col("content_length") > 0)).alias("parsed_pages"),
     )
-    new = new_contexts(contexts_of_records(records, **limits), root, batch)
-    rows = store.to_context_rows(new, mode).observe(
-        added,
-        F.count(F.lit(1)).alias("contexts_added"),
-        F.count_if("is_training_candidate").alias("contexts_marked"),
-    )
-    tables.write_batch(rows, root, "image_context", batch)
-    return {**seen.get, **added.get}
+    with scratch(spark, "extract") as folder:
+        outcomes = stage_outcomes(records, f"{folder}/outcomes", **limits)
+        refused = outcomes.filter("outcome = 'quarantine'").observe(
+            held_back, F.count(F.lit(1)).alias("quarantined")
+        )
+        tables.write_batch(refused, root, "quarantine", batch)
+        found = outcomes.filter("outcome = 'context'").drop("outcome", "reason")
+        rows = store.to_context_rows(new_contexts(found, root, batch, folder), mode).observe(
+            added,
+            F.count(F.lit(1)).alias("contexts_added"),
+            F.count_if("is_training_candidate").alias("contexts_marked"),
+        )
+        tables.write_batch(rows, root, "image_context", batch)
+    return {**seen.get, **held_back.get, **added.get}
+
+
+def stage_outcomes(records: DataFrame, path: str, **limits) -> DataFrame:
+    """Contexts and refused records, from one pass, written partitioned by ``outcome``."""
+    judged = pages.judge_records(records)
+    admitted = judged.withColumn("html", F.when(F.col("reason").isNull(), F.col("html")))
+    tagged = contexts.extract_contexts(admitted, tag="reason", **limits)
+    outcome = F.when(F.col("reason").isNull(), "context").otherwise("quarantine")
+    tagged.withColumn("outcome", outcome).write.partitionBy("outcome").parquet(path)
+    schema = tagged.schema.add("outcome", "string")
+    return records.sparkSession.read.schema(schema).parquet(path)

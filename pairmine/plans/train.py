@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairmine import settings
 from pairmine.operators import encoding, split, store, training, vocabulary
-from pairmine.session import work_path
+from pairmine.session import scratch
 from pairmine.sources import tables
 
 _TEXTS = ["context_before", "context_after", "alt_text"]
@@ -74,17 +74,17 @@ def train_from_store(
     labelled = stored.withColumn("seq_len", seq_len).withColumn(
         "sequence", F.slice("input_ids", F.lit(1), F.col("seq_len"))
     )
-    path = work_path(spark, "split-examples")
-    split.train_validation_split(labelled, "context_id", validation_split).write.partitionBy(
-        "part"
-    ).parquet(path)
-    parts = spark.read.parquet(path)
-    train = parts.filter("part = 'train'").drop("part")
-    validation = parts.filter("part = 'validation'").drop("part")
-    has_validation = not validation.isEmpty()
-    model, history = training.train_span_model(
-        spark, train, validation if has_validation else None, max_len, **training_params
-    )
+    with scratch(spark, "split-examples") as path:
+        split.train_validation_split(labelled, "context_id", validation_split).write.partitionBy(
+            "part"
+        ).parquet(path)
+        parts = spark.read.parquet(path)
+        train = parts.filter("part = 'train'").drop("part")
+        validation = parts.filter("part = 'validation'").drop("part")
+        has_validation = not validation.isEmpty()
+        model, history = training.train_span_model(
+            spark, train, validation if has_validation else None, max_len, **training_params
+        )
     model.max_len, model.vocab = max_len, vocab
     model.save(model_dir)
     training.write_history(history, f"{model_dir.rstrip('/')}/history")

@@ -17,6 +17,10 @@ CRAWL_RECORD = T.StructType(
         _field("content_type", T.StringType()),
         _field("content_length", T.LongType()),
         _field("html_bytes", T.BinaryType()),
+        # The content type without parameters, in lower case.
+        _field("media_type", T.StringType()),
+        # What stands in the archive instead of a record.
+        _field("damage", T.StringType()),
     ]
 )
 
@@ -88,10 +92,21 @@ METRIC_HISTORY = T.StructType(
     ]
 )
 
+# A record that cannot yield any context.
+QUARANTINE = T.StructType(
+    [
+        _field("warc_path", T.StringType()),
+        _field("record_offset", T.LongType()),
+        _field("page_url", T.StringType()),
+        _field("reason", T.StringType()),
+    ]
+)
+
 # Table name -> row type of everything the store keeps.
 TABLES = {
     "image_context": IMAGE_CONTEXT,
     "training_data": TRAINING_DATA,
     "predicted_descriptions": PREDICTION,
     "clip_results": CLIP_RESULT,
+    "quarantine": QUARANTINE,
 }

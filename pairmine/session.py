@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,13 +40,24 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+@contextlib.contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh folder below the shared one that goes when the block ends, on failure too."""
+    path = work_path(spark, name)
+    try:
+        yield path
+    finally:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, or below ``folder``, and read it back.
 
     For an expensive result that several later steps read: it is computed once,
     survives lost executors, and later steps read only the columns they need.
     """
-    path = work_path(df.sparkSession, name)
+    path = f"{folder}/{name}" if folder else work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -7,6 +7,8 @@ duplicates, whatever was lost in between.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,29 @@ def read_table(
 
 
 def write_batch(df: DataFrame, root: str, name: str, batch: str) -> None:
-    """Write ``df`` as one batch of a table, in the table's column order and types."""
+    """Write ``df`` as one batch of a table, in the table's column order and types.
+
+    The rows are written beside the table's batches, under a name that readers pass over, and
+    take the place of an earlier batch of that name when they are whole: a run that fails
+    leaves the earlier batch as it was.
+    """
+    spark = df.sparkSession
     typed = df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name].fields])
-    typed.write.mode("overwrite").parquet(f"{_path(root, name)}/batch={batch}")
+    folder = _path(root, name)
+    fresh, old = (f"{folder}/_{kind}-{uuid.uuid4().hex}" for kind in ("incoming", "replaced"))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    filesystem = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        typed.write.parquet(fresh)
+        target = path(f"{folder}/batch={batch}")
+        if filesystem.exists(target):
+            _rename(filesystem, target, path(old))
+        _rename(filesystem, path(fresh), target)
+    finally:
+        filesystem.delete(path(fresh), True)
+        filesystem.delete(path(old), True)
+
+
+def _rename(filesystem, source, target) -> None:
+    if not filesystem.rename(source, target):
+        raise OSError(f"cannot move {source.toString()} to {target.toString()}")

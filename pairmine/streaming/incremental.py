@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pairmine import schemas
 from pairmine.operators import store
 from pairmine.plans import enrich, extract
-from pairmine.session import stage
+from pairmine.session import scratch, stage
 from pairmine.sources import tables
 
 
@@ -42,8 +42,9 @@ def stream_contexts(
 
     def write(batch: DataFrame, epoch: int) -> None:
         label = f"{name}-{epoch:09d}"
-        new = extract.new_contexts(batch, root, label)
-        tables.write_batch(store.to_context_rows(new, mode), root, "image_context", label)
+        with scratch(batch.sparkSession, "stream-contexts") as folder:
+            new = extract.new_contexts(batch, root, label, folder)
+            tables.write_batch(store.to_context_rows(new, mode), root, "image_context", label)
 
     return _start(found, root, name, write)
 
@@ -65,7 +66,7 @@ def stream_enrichment(
     predictions = (
         spark.readStream.schema(schemas.PREDICTION)
         .option("maxFilesPerTrigger", max_files)
-        .parquet(f"{root.rstrip('/')}/predicted_descriptions/*")
+        .parquet(f"{root.rstrip('/')}/predicted_descriptions/batch=*")
     )
 
     def write(batch: DataFrame, epoch: int) -> None:
@@ -75,13 +76,14 @@ def stream_enrichment(
         new = store.insert_new(batch, finished, "prediction_id", batch.count())
         # Staged, a small batch is known to be small, and the contexts it joins
         # are not shuffled.
-        open_rows = stage(new, "open-predictions")
-        pending = enrich.pending_pairs(
-            open_rows, tables.read_table(session, root, "image_context")
-        )
-        rows = enrich.outcomes(
-            pending, assets, add_embeddings, F.unix_micros(F.current_timestamp()), **limits
-        )
-        tables.write_batch(rows, root, "clip_results", label)
+        with scratch(session, "stream-predictions") as folder:
+            open_rows = stage(new, "open-predictions", folder)
+            pending = enrich.pending_pairs(
+                open_rows, tables.read_table(session, root, "image_context")
+            )
+            rows = enrich.outcomes(
+                pending, assets, add_embeddings, F.unix_micros(F.current_timestamp()), **limits
+            )
+            tables.write_batch(rows, root, "clip_results", label)
 
     return _start(predictions, root, name, write)

@@ -284,8 +284,11 @@ def _record(number, html=b"<body><img src='a'></body>".ljust(200), **changes):
     row = {
         "warc_path": "w", "record_offset": number, "page_url": "http://e.com/", "http_parsed": True,
         "content_type": "Text/HTML; charset=utf-8", "content_length": len(html or b""), "html_bytes": html,
+        "media_type": None, "damage": None,
     }
-    return {**row, **changes}
+    row |= changes
+    kind = row["content_type"]
+    return {**row, "media_type": kind and kind.lower().partition(";")[0].strip()}
 
 
 def test_admission_and_quarantine(spark):
@@ -301,6 +304,7 @@ def test_admission_and_quarantine(spark):
         _record(7, page_url=None),
         _record(8, html=b"<body>no picture</body>".ljust(200)),
         _record(9, html=b"<img src='a'>".ljust(200)),
+        _record(10, None, http_parsed=False, page_url=None, content_type=None, damage="cut off"),
     ]
     df = spark.createDataFrame([tuple(r.values()) for r in rows], CRAWL_RECORD)
     admitted = {r.record_offset for r in pages.admit_pages(df).collect()}
@@ -308,5 +312,5 @@ def test_admission_and_quarantine(spark):
     reasons = {r.record_offset: r.reason for r in pages.quarantine(df).collect()}
     assert reasons == {
         2: "no_http_headers", 3: "no_content_type", 4: "not_html", 5: "too_short",
-        6: "empty_payload", 7: "no_page_url", 8: "no_image_tag",
+        6: "empty_payload", 7: "no_page_url", 8: "no_image_tag", 10: "damaged: cut off",
     }

@@ -63,10 +63,8 @@ def test_archive_scan(spark, tmp_path):
     assert len({(r.warc_path, r.record_offset) for r in rows}) == 12
     assert warc.read_warc(spark, folder, recursive=True).count() == 13
     assert warc.read_warc(spark, f"{folder}/B.WARC").count() == 3
-    spread = warc.read_warc(spark, folder, spread_above=1000)
-    assert sorted(spread.drop("html_bytes").collect(), key=str) == sorted(
-        warc.read_warc(spark, folder).drop("html_bytes").collect(), key=str
-    )
+    deep = {r.warc_path for r in warc.read_warc(spark, folder, recursive=True).select("warc_path").collect()}
+    assert deep == {"a.warc.gz", "B.WARC", "sub/d.warc", "c.warc"}
     with pytest.raises(Exception):
         warc.archives(f"{folder}/missing")
 
@@ -77,7 +75,93 @@ def test_damaged_archive_keeps_what_came_before(spark, tmp_path):
     write_crawl(str(tmp_path), "odd.warc", range(3, 5), extra=b"garbage\r\n")
     rows = warc.read_warc(spark, str(tmp_path)).collect()
     assert sum(r.page_url is not None for r in rows) == 5
-    assert sum(not r.http_parsed for r in rows) == 2
+    assert sorted((r.warc_path, r.damage) for r in rows if r.damage) == [("cut.warc.gz", "bad member"), ("odd.warc", "junk")]
+
+
+def every_range(folder, name, step):
+    size = os.path.getsize(f"{folder}/{name}")
+    return [
+        row
+        for low in range(0, size, step)
+        for batch in warc.read_archive(f"{folder}/{name}", low=low, high=min(size, low + step))
+        for row in batch.to_pylist()
+    ]
+
+
+def damaged_crawl(folder):
+    """Archives with damage of every kind, and the pages that must survive it."""
+    rng = np.random.default_rng(3)
+    pages = [record(f"http://e.com/{n}", rng.bytes(40) * 9 + page_html(n).encode()) for n in range(30)]
+    quoted = record("http://e.com/quoted", b"<pre>\r\n\r\n" + record("http://fake/", b"x" * 50) + b"</pre>")
+    members = [gzip.compress(p) for p in pages]
+    bad = bytearray(members[7])
+    bad[len(bad) // 2] ^= 0xFF
+    both = gzip.compress(pages[10] + pages[11])
+    half = len(pages[12]) // 2
+    parts = [
+        *members[:3], b"\0" * 700, *members[3:5], b"junk that is no member", members[5], members[6][: len(members[6]) // 2],
+        bytes(bad), members[8], members[9][:-8] + b"\1" * 8, both, gzip.compress(pages[12][:half]), gzip.compress(pages[12][half:]),
+        gzip.compress(quoted), gzip.compress(pages[13][:-200]), *members[14:], b"\x1f\x8b\x08 no end",
+    ]
+    with open(f"{folder}/mixed.warc.gz", "wb") as out:
+        out.write(b"".join(parts))
+    with open(f"{folder}/one.warc.gz", "wb") as out:
+        out.write(gzip.compress(b"".join(pages)))
+    with open(f"{folder}/plain.warc", "wb") as out:
+        out.write(b"".join([b"junk first\r\n", *pages[:9], b"junk\r\nmore\r\n", quoted, *pages[9:], pages[0][:-300]]))
+    lost = {6, 7, 9, 13}
+    return {f"http://e.com/{n}" for n in range(30)} - {f"http://e.com/{n}" for n in lost} | {"http://e.com/quoted"}
+
+
+def test_rows_do_not_depend_on_ranges(spark, tmp_path):
+    survive = damaged_crawl(str(tmp_path))
+    for name in ("mixed.warc.gz", "one.warc.gz", "plain.warc"):
+        whole = every_range(tmp_path, name, 1 << 30)
+        for step in (97, 1_000, 4_096):
+            assert every_range(tmp_path, name, step) == whole
+    mixed = every_range(tmp_path, "mixed.warc.gz", 1 << 30)
+    assert {r["page_url"] for r in mixed if not r["damage"]} == survive
+    assert sorted(r["damage"] for r in mixed if r["damage"]) == [*["bad member"] * 3, "cut off", "junk", "junk"]
+    assert len({r["record_offset"] for r in mixed}) == len(mixed)
+    plain = every_range(tmp_path, "plain.warc", 1 << 30)
+    assert len(plain) == 31 + 3 and [r["damage"] for r in plain if r["damage"]] == ["junk", "junk", "cut off"]
+    assert "http://fake/" not in {r["page_url"] for r in [*mixed, *plain]}
+    split = warc.read_warc(spark, str(tmp_path), split_bytes=5_000)
+    assert split.rdd.getNumPartitions() > 10
+    assert sorted(split.collect(), key=str) == sorted(warc.read_warc(spark, str(tmp_path)).collect(), key=str)
+
+
+def test_filters_reach_the_source(spark, tmp_path):
+    from pairmine.operators import pages
+
+    write_crawl(str(tmp_path), "a.warc", range(4), extra=record("http://e.com/x.json", b"{}" * 99, "application/json"))
+    write_crawl(str(tmp_path), "b.warc.gz", range(4, 6), extra=gzip.compress(record("http://e.com/s", b"<p>", "text/html")))
+    read = warc.read_warc(spark, str(tmp_path), html_only=False)
+    kept = pages.admit_pages(read, read_payload=False)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan.split("BatchScan")[0]
+    rows = kept.collect()
+    assert sorted(r.page_url[-1] for r in rows) == list("012345")
+    assert [r.page_url for r in read.filter("media_type = 'application/json'").collect()] == ["http://e.com/x.json"]
+    assert read.filter("content_length between 1 and 10 and page_url like '%/s'").count() == 1
+    assert read.filter("not(page_url = 'http://e.com/s') and http_parsed").count() == 7
+    assert read.filter("length(html_bytes) = 3 and media_type in ('text/html', 'x')").count() == 1
+    assert read.filter("damage is not null").count() == 0
+
+
+def test_unwanted_bodies_are_not_read():
+    big = record("http://e.com/big", b"b" * (8 << 20)) + record("http://e.com/a", b"x" * 200)
+
+    class Watched(io.BytesIO):
+        total = 0
+
+        def read(self, size=-1):
+            data = super().read(size)
+            Watched.total += len(data)
+            return data
+
+    rows = list(warc.iter_responses(warc._Counting(Watched(big)), wanted=lambda head: head[4] < 1_000))
+    assert [r[1] for r in rows] == ["http://e.com/a"] and Watched.total < 4 << 20
 
 
 def test_junk_between_records_costs_no_record():
@@ -106,7 +190,7 @@ def test_bodies_that_are_not_html_are_skipped_unread():
             return data
 
     raw = Watched(response(b"video/mp4", big) + response(b"text/html", b"page"))
-    rows = [row[2:] for row in warc.iter_responses(warc._Counting(raw), html_only=True)]
+    rows = [row[2:6] for row in warc.iter_responses(warc._Counting(raw), html_only=True)]
     assert rows == [(True, "video/mp4", len(big), None), (True, "text/html", 4, b"page")]
     assert Watched.largest <= 1 << 20
     raw.seek(0)
@@ -174,7 +258,8 @@ def test_all_stages(spark, tmp_path):
     write_crawl(crawl, "one.warc.gz", range(12))
     counters = extract.extract_archives(spark, crawl, root, "one", mode="training")
     assert counters == {
-        "records": 12, "html_responses": 12, "parsed_pages": 12, "contexts_added": 36, "contexts_marked": 36,
+        "records": 12, "damaged": 0, "html_responses": 12, "parsed_pages": 12, "quarantined": 0,
+        "contexts_added": 36, "contexts_marked": 36,
     }
     # The same archives again, as another batch and as the same one.
     assert extract.extract_archives(spark, crawl, root, "again", mode="training")["contexts_added"] == 0
@@ -209,6 +294,37 @@ def test_all_stages(spark, tmp_path):
     assert spark.read.parquet(paths["summary"]).count() == 5
 
 
+def test_quarantine_is_written_on_the_way(spark, tmp_path):
+    crawl, root = str(tmp_path / "crawl"), str(tmp_path / "store")
+    extra = [record("http://e.com/n", b"<body>no picture</body>".ljust(200)), record("http://e.com/j", b"{}" * 99, "text/json")]
+    extra = b"".join(map(gzip.compress, extra)) + gzip.compress(record("http://e.com/cut", b"x" * 500))[:-30]
+    write_crawl(crawl, "one.warc.gz", range(4), extra=extra)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    counters = extract.extract_archives(spark, crawl, root, "one")
+    assert set(os.listdir(shared)) == before
+    assert (counters["records"], counters["damaged"], counters["quarantined"], counters["contexts_added"]) == (6, 1, 3, 12)
+    reasons = {r.page_url: r.reason for r in tables.read_table(spark, root, "quarantine").collect()}
+    assert reasons == {"http://e.com/n": "no_image_tag", "http://e.com/j": "not_html", None: "damaged: bad member"}
+    found = {tuple(r) for r in extract.contexts_of_records(warc.read_warc(spark, crawl)).select("page_url", "img_pos", "alt_text").collect()}
+    stored = tables.read_table(spark, root, "image_context").select("page_url", "img_pos", "alt_text").collect()
+    assert {tuple(r) for r in stored} == found
+
+
+def test_a_failed_rewrite_keeps_the_batch(spark, tmp_path):
+    root = str(tmp_path / "store")
+    tables.create_tables(spark, root)
+    row = spark.createDataFrame([("a.warc", 1, "http://e.com/", "too_short")], "warc_path string, record_offset long, page_url string, reason string")
+    tables.write_batch(row, root, "quarantine", "one")
+    broken = row.withColumn("reason", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_batch(broken, root, "quarantine", "one")
+    assert [r.reason for r in tables.read_table(spark, root, "quarantine").collect()] == ["too_short"]
+    tables.write_batch(row.withColumn("reason", F.lit("not_html")), root, "quarantine", "one")
+    assert [r.reason for r in tables.read_table(spark, root, "quarantine").collect()] == ["not_html"]
+    assert sorted(n for n in os.listdir(f"{root}/quarantine") if n[0] != ".") == ["batch=created", "batch=one"]
+
+
 def test_a_model_brings_its_vocabulary_and_length(spark, tmp_path):
     crawl, root, model = str(tmp_path / "crawl"), str(tmp_path / "store"), str(tmp_path / "model")
     write_crawl(crawl, "one.warc.gz", range(6))

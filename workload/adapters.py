@@ -132,6 +132,8 @@ def _crawl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.alias("content_type"),
         F.length(payload).cast("bigint").alias("content_length"),
         payload.alias("html_bytes"),
+        F.lower(F.substring_index(kind, ";", 1)).alias("media_type"),
+        F.when(n % 19 == 7, "junk").alias("damage"),
     )
 
 
@@ -369,7 +371,13 @@ def write_archives(spark: SparkSession, sf_dir: str) -> str:
         with filesystem.open_output_stream(f"{root}/{name}", compression=None) as out:
             for frame in batches:
                 for row in frame.itertuples():
-                    out.write(gzip.compress(_warc_record(row), 1))
+                    member = gzip.compress(_warc_record(row), 1)
+                    # Half a member, whose rest is lost, and what is no member at all.
+                    if row.record_offset % 19 == 8:
+                        out.write(member[: len(member) // 2])
+                    if row.record_offset % 19 == 9:
+                        out.write(b"no member")
+                    out.write(member)
                     count += 1
         yield pd.DataFrame({"name": [name], "records": [count]})
 

@@ -40,9 +40,10 @@ def _joined(column: str):
 
 
 def warc_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """The given pages, written as archives and scanned back."""
-    records = warc.read_warc(spark, ad.write_archives(spark, sf))
+    """The given pages, written as archives with damage between them and scanned back in small ranges."""
+    records = warc.read_warc(spark, ad.write_archives(spark, sf), split_bytes=100_000)
     return records.select(
+        "damage",
         "page_url",
         "http_parsed",
         "content_type",
