@@ -1,97 +1,169 @@
-"""Span-scorer training with distributed logistic regression, and model selection.
+"""Span-scorer training by epochs with distributed gradients, and model selection.
 
 Two pointer models score every position of a sequence, one as the start and one
-as the end of the description.  Features of a position: its token, both
-neighbours (one-hot buckets of their ids) and its signed distance to the image.
+as the end of the description; a softmax over the positions of the sequence makes them
+probabilities.  Features of a position: its token, both neighbours (one-hot buckets of their
+ids) and its signed distance to the image.
+
+The weights are a small array of fixed size.  In every step each partition sums the gradient of
+its examples, an aggregation sums the partitions, and Adam moves the weights.  All runs
+of a grid share the passes over the examples.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairmine import settings
 from pairmine.functions import spans
-from pairmine.operators import metrics, prediction
+from pairmine.operators import prediction
 from pairmine.operators.vocabulary import IMG_ID, PAD_ID
 from pairmine.schemas import METRIC_HISTORY
 
 TOKEN_BUCKETS = 1024
 MAX_DISTANCE = 32
+LEARNING_RATE = 0.1
+MAX_EPOCHS = 10
 _ENCODER = "has_vocabulary boolean, max_len int, buckets int"
-_ONE_HOT = ["token_bin", "previous_bin", "next_bin", "distance_bin"]
+_WEIGHTS = "head string, place int, weight double"
+_HEADS = ("start", "end")
+_SUMS = "run string, gradient array<double>, loss double, examples long"
+_CHUNK = 512
 
 # Metrics of which the largest value is the best.
 HIGHER_IS_BETTER = {"val_iou", "val_exact_match"}
 
 
-def position_rows(examples: DataFrame, buckets: int = TOKEN_BUCKETS) -> DataFrame:
-    """One row per real position with its feature bins, both labels and the weights.
+def weight_count(buckets: int) -> int:
+    return 3 * buckets + 2 * MAX_DISTANCE + 1
+
+
+def position_features(
+    tokens: np.ndarray, opens: np.ndarray, lengths: np.ndarray, buckets: int = TOKEN_BUCKETS
+) -> list[np.ndarray]:
+    """The four features of every position of sequences that lie one behind another.
 
-    The one positive position of a sequence weighs as much as all its others.
+    ``opens`` is where each sequence starts.  A sequence without an image counts distances from
+    its first position.
     """
-    pad = F.array(F.lit(PAD_ID))
-    image = F.array_position("sequence", IMG_ID) - 1
-    neighbours = F.arrays_zip(
-        F.col("sequence").alias("token"),
-        F.concat(pad, F.slice("sequence", F.lit(1), F.col("seq_len") - 1)).alias("previous"),
-        F.concat(F.slice("sequence", F.lit(2), F.col("seq_len") - 1), pad).alias("next"),
-    )
-    rows = examples.select(
-        "true_start_token",
-        "true_end_token",
-        "seq_len",
-        image.alias("image"),
-        F.posexplode(neighbours).alias("pos", "t"),
-    )
-    distance = F.greatest(
-        F.lit(-MAX_DISTANCE), F.least(F.lit(MAX_DISTANCE), F.col("pos") - F.col("image"))
+    before, after = np.roll(tokens, 1), np.roll(tokens, -1)
+    before[opens] = PAD_ID
+    after[opens + lengths - 1] = PAD_ID
+    owner = np.repeat(np.arange(len(opens)), lengths)
+    place = np.arange(len(tokens)) - opens[owner]
+    found = np.where(tokens == IMG_ID, place, len(tokens))
+    image = np.minimum.reduceat(found, opens)
+    image[image == len(tokens)] = 0
+    distance = np.clip(place - image[owner], -MAX_DISTANCE, MAX_DISTANCE)
+    return [
+        tokens % buckets,
+        buckets + before % buckets,
+        2 * buckets + after % buckets,
+        3 * buckets + distance + MAX_DISTANCE,
+    ]
+
+
+def loss_and_gradient(
+    weights: np.ndarray, features: list[np.ndarray], opens: np.ndarray, lengths: np.ndarray, targets: np.ndarray
+) -> tuple[float, np.ndarray]:
+    """Summed cross-entropy of the start and end positions (their mean), and its gradient.
+
+    ``weights`` and ``targets`` have a row for the start and one for the end.
+    """
+    loss, gradient = 0.0, np.zeros_like(weights)
+    for head in range(2):
+        scores = sum(weights[head][f] for f in features)
+        scores = scores - np.repeat(np.maximum.reduceat(scores, opens), lengths)
+        exps = np.exp(scores)
+        totals = np.add.reduceat(exps, opens)
+        chosen = opens + targets[head]
+        loss += float(np.sum(np.log(totals) - scores[chosen])) / 2
+        error = exps / np.repeat(totals, lengths)
+        error[chosen] -= 1
+        for f in features:
+            gradient[head] += np.bincount(f, error, minlength=weights.shape[1])[: weights.shape[1]] / 2
+    return loss, gradient
+
+
+def gradient_sums(
+    examples: DataFrame, runs: dict[str, np.ndarray], buckets: int = TOKEN_BUCKETS
+) -> dict[str, tuple[np.ndarray, float, int]]:
+    """Per run (name to weights) the summed gradient, the summed loss and the number of examples: one job."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {name: [np.zeros_like(w), 0.0, 0] for name, w in runs.items()}
+        for batch in batches:
+            for low in range(0, batch.num_rows, _CHUNK):
+                part = batch.slice(low, _CHUNK)
+                lists = part.column(0)
+                tokens = lists.flatten().to_numpy().astype(np.int64)
+                lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+                opens = np.cumsum(lengths) - lengths
+                targets = np.stack([part.column(k).to_numpy() for k in (1, 2)])
+                features = position_features(tokens, opens, lengths, buckets)
+                for name, weights in runs.items():
+                    loss, gradient = loss_and_gradient(weights, features, opens, lengths, targets)
+                    own = sums[name]
+                    own[0] += gradient
+                    own[1] += loss
+                    own[2] += len(lengths)
+        names, rows = list(sums), list(sums.values())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(names),
+                pa.array([r[0].ravel() for r in rows], pa.list_(pa.float64())),
+                pa.array([r[1] for r in rows], pa.float64()),
+                pa.array([r[2] for r in rows], pa.int64()),
+            ],
+            names=["run", "gradient", "loss", "examples"],
+        )
+
+    usable = examples.filter("size(sequence) > 0 and true_start_token < size(sequence) and true_end_token < size(sequence)")
+    given = usable.select("sequence", "true_start_token", "true_end_token")
+    parts = given.mapInArrow(run, _SUMS).withColumn("gradient", array_to_vector("gradient"))
+    summed = parts.groupBy("run").agg(
+        Summarizer.sum(F.col("gradient")).alias("gradient"), F.sum("loss").alias("loss"), F.sum("examples").alias("n")
     )
+    return {  # one row per run
+        r["run"]: (r["gradient"].toArray().reshape(2, -1), r["loss"], r["n"]) for r in summed.collect()
+    }
 
-    def label(target: str):
-        return (F.col("pos") == F.col(target)).cast("double")
-
-    def weight(target: str):
-        return F.when(F.col("pos") == F.col(target), F.col("seq_len") - 1).otherwise(1).cast("double")
-
-    return rows.select(
-        (F.col("t.token") % buckets).cast("int").alias("token_bin"),
-        (F.col("t.previous") % buckets).cast("int").alias("previous_bin"),
-        (F.col("t.next") % buckets).cast("int").alias("next_bin"),
-        (distance + MAX_DISTANCE).cast("int").alias("distance_bin"),
-        label("true_start_token").alias("is_start"),
-        weight("true_start_token").alias("start_weight"),
-        label("true_end_token").alias("is_end"),
-        weight("true_end_token").alias("end_weight"),
-    )
 
+@dataclass
+class Adam:
+    """Moves one run's weights along its gradients."""
 
-def feature_vectors(rows: DataFrame, buckets: int = TOKEN_BUCKETS) -> DataFrame:
-    """Adds the sparse vector ``features``; its layout depends on ``buckets`` only."""
-    codes = rows.sparkSession.range(max(buckets, 2 * MAX_DISTANCE + 1)).select(
-        *[(F.col("id") % buckets).cast("int").alias(c) for c in _ONE_HOT[:3]],
-        (F.col("id") % (2 * MAX_DISTANCE + 1)).cast("int").alias("distance_bin"),
-    )
-    encoded = [f"{c}_vec" for c in _ONE_HOT]
-    encoder = OneHotEncoder(inputCols=_ONE_HOT, outputCols=encoded, dropLast=False).fit(codes)
-    vectors = VectorAssembler(inputCols=encoded, outputCol="features").transform(
-        encoder.transform(rows)
-    )
-    return vectors.select("features", "is_start", "start_weight", "is_end", "end_weight")
+    weights: np.ndarray
+    rate: float = LEARNING_RATE
+    steps: int = 0
+    mean: np.ndarray = field(init=False)
+    square: np.ndarray = field(init=False)
+
+    def __post_init__(self):
+        self.mean, self.square = np.zeros_like(self.weights), np.zeros_like(self.weights)
+
+    def step(self, gradient: np.ndarray) -> None:
+        self.steps += 1
+        self.mean = 0.9 * self.mean + 0.1 * gradient
+        self.square = 0.999 * self.square + 0.001 * gradient**2
+        mean = self.mean / (1 - 0.9**self.steps)
+        square = self.square / (1 - 0.999**self.steps)
+        self.weights = self.weights - self.rate * mean / (np.sqrt(square) + 1e-8)
 
 
 @dataclass
 class PointerModel:
-    """A start and an end scorer."""
+    """A start and an end scorer: a row of weights each."""
 
-    start: LogisticRegressionModel
-    end: LogisticRegressionModel
+    weights: np.ndarray
     buckets: int = TOKEN_BUCKETS
     max_len: int = settings.MAX_LEN
     vocab: DataFrame | None = None
@@ -103,47 +175,37 @@ class PointerModel:
             self.vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
         facts = [(self.vocab is not None, self.max_len, self.buckets)]
         spark.createDataFrame(facts, _ENCODER).coalesce(1).write.mode("overwrite").json(f"{path}/encoder")
-        self.start.write().overwrite().save(f"{path}/start")
-        self.end.write().overwrite().save(f"{path}/end")
+        rows = [
+            (head, place, float(w)) for head, own in zip(_HEADS, self.weights, strict=True) for place, w in enumerate(own)
+        ]
+        spark.createDataFrame(rows, _WEIGHTS).coalesce(1).write.mode("overwrite").parquet(f"{path}/weights")
 
     @staticmethod
     def load(path: str) -> PointerModel:
         spark = SparkSession.active()
         facts = spark.read.schema(_ENCODER).json(f"{path}/encoder").first()
         vocab = spark.read.parquet(f"{path}/vocabulary") if facts["has_vocabulary"] else None
-        start = LogisticRegressionModel.load(f"{path}/start")
-        end = LogisticRegressionModel.load(f"{path}/end")
-        return PointerModel(start, end, facts["buckets"], facts["max_len"], vocab)
+        weights = np.zeros((2, weight_count(facts["buckets"])))
+        for row in spark.read.schema(_WEIGHTS).parquet(f"{path}/weights").collect():  # a fixed number
+            weights[_HEADS.index(row["head"]), row["place"]] = row["weight"]
+        return PointerModel(weights, facts["buckets"], facts["max_len"], vocab)
 
     def make_predict_fn(self) -> Callable:
-        """Scorer for ``predict_logits``; carries only the coefficients."""
-        weights = [
-            (np.asarray(m.coefficients.toArray(), dtype=np.float32), float(m.intercept))
-            for m in (self.start, self.end)
-        ]
-        return _scorer(weights, self.buckets)
+        """Scorer for ``predict_logits``; carries only the weights."""
+        return _scorer(self.weights.astype(np.float32), self.buckets)
 
 
-def _scorer(weights, buckets: int) -> Callable:
+def _scorer(weights: np.ndarray, buckets: int) -> Callable:
     def make():
         def predict(input_ids, attention_mask):
             ids = np.asarray(input_ids, dtype=np.int64)
-            before = np.concatenate([np.full_like(ids[:, :1], PAD_ID), ids[:, :-1]], axis=1)
-            after = np.concatenate([ids[:, 1:], np.full_like(ids[:, :1], PAD_ID)], axis=1)
-            image = (ids == IMG_ID).argmax(axis=1)
-            distance = np.clip(
-                np.arange(ids.shape[1])[None, :] - image[:, None], -MAX_DISTANCE, MAX_DISTANCE
-            )
-            features = [
-                ids % buckets,
-                buckets + before % buckets,
-                2 * buckets + after % buckets,
-                3 * buckets + distance + MAX_DISTANCE,
-            ]
             real = np.asarray(attention_mask) > 0
+            lengths = np.full(len(ids), ids.shape[1])
+            opens = np.cumsum(lengths) - lengths
+            features = position_features(ids.ravel(), opens, lengths, buckets)
             logits = []
-            for coefficients, intercept in weights:
-                scores = sum(coefficients[f] for f in features) + np.float32(intercept)
+            for own in weights:
+                scores = sum(own[f] for f in features).reshape(ids.shape)
                 logits.append(np.where(real, scores, np.float32(-1e4)).astype(np.float32))
             return {"start_logits": logits[0], "end_logits": logits[1]}
 
@@ -152,22 +214,6 @@ def _scorer(weights, buckets: int) -> Callable:
     return make
 
 
-def fit_pointer_model(
-    vectors: DataFrame, reg_param: float, max_iter: int = 10, buckets: int = TOKEN_BUCKETS
-) -> PointerModel:
-    def fit(label: str, weight: str) -> LogisticRegressionModel:
-        return LogisticRegression(
-            featuresCol="features",
-            labelCol=label,
-            weightCol=weight,
-            regParam=reg_param,
-            maxIter=max_iter,
-            standardization=False,
-        ).fit(vectors)
-
-    return PointerModel(fit("is_start", "start_weight"), fit("is_end", "end_weight"), buckets)
-
-
 def evaluate(model: PointerModel, examples: DataFrame, max_len: int) -> dict[str, float]:
     """Loss, exact match and overlap of padded, labelled examples: one job, one row."""
     scored = prediction.best_positions(
@@ -192,34 +238,57 @@ def train_span_model(
     validation: DataFrame | None,
     max_len: int,
     reg_params: list[float] = (0.0, 0.01),
-    max_iter: int = 10,
+    max_epochs: int = MAX_EPOCHS,
     monitor: str = "val_loss",
     patience: int = settings.EARLY_STOPPING_PATIENCE,
     buckets: int = TOKEN_BUCKETS,
+    learning_rate: float = LEARNING_RATE,
+    steps: int = 1,
 ) -> tuple[PointerModel, DataFrame]:
-    """The best model of a small grid and the metric history of all runs.
+    """The best model of a small grid, with the weights of its best epoch, and the history of all runs.
 
-    ``train`` and ``validation`` are padded examples; write them (or checkpoint
-    them) first, for every run reads them again.
+    ``train`` and ``validation`` are padded examples with their ``sequence``; write them (or
+    checkpoint them) first, for every epoch reads them again.  An epoch is ``steps`` steps, each
+    over the examples that one value of a hash chooses.  It records the loss before its
+    steps and, with ``validation``, the metrics after them.  A run stops ``patience`` epochs after its
+    last best value of ``monitor`` (without validation, of the loss).
     """
-    vectors = feature_vectors(position_rows(train, buckets), buckets).persist()
-    models, rows = {}, []
-    for reg_param in reg_params:
-        run = f"reg={reg_param}"
-        model = fit_pointer_model(vectors, reg_param, max_iter, buckets)
-        models[run] = model
-        losses = zip(model.start.summary.objectiveHistory, model.end.summary.objectiveHistory)
-        history = [(a + b) / 2 for a, b in losses]
-        rows += [(run, epoch, "loss", float(v)) for epoch, v in enumerate(history)]
-        if validation is not None:
-            last = max(len(history) - 1, 0)
-            for name, value in evaluate(model, validation, max_len).items():
-                rows.append((run, last, f"val_{name}", float(value)))
-    vectors.unpersist()
-    history = spark.createDataFrame(rows, METRIC_HISTORY)
     metric = monitor if validation is not None else "loss"
-    best = select_best_run(history, metric, patience=patience).first()["run_id"]
-    return models[best], history
+    sign = -1.0 if metric in HIGHER_IS_BETTER else 1.0
+    penalties = {f"reg={r}": r for r in reg_params}
+    movers = {name: Adam(np.zeros((2, weight_count(buckets))), learning_rate) for name in penalties}
+    best: dict[str, tuple[float, int, np.ndarray]] = {}
+    rows, active = [], list(penalties)
+    for epoch in range(max_epochs):
+        losses = {name: [0.0, 0] for name in active}
+        used = {name: movers[name].weights for name in active}
+        for step in range(steps):
+            some = train if steps == 1 else train.filter(F.pmod(F.xxhash64("sequence"), F.lit(steps)) == step)
+            sums = gradient_sums(some, {name: movers[name].weights for name in active}, buckets)
+            for name, (gradient, loss, count) in sums.items():
+                losses[name][0] += loss
+                losses[name][1] += count
+                if count:
+                    movers[name].step(gradient / count + penalties[name] * movers[name].weights)
+        for name in list(active):
+            loss, count = losses[name]
+            values = {"loss": loss / max(1, count)}
+            weights = used[name]
+            if validation is not None:
+                weights = movers[name].weights
+                found = evaluate(PointerModel(weights, buckets, max_len), validation, max_len)
+                values |= {f"val_{k}": v for k, v in found.items()}
+            rows += [(name, epoch, k, float(v)) for k, v in values.items()]
+            cost = sign * values[metric]
+            if name not in best or cost < best[name][0]:
+                best[name] = (cost, epoch, weights)
+            elif epoch - best[name][1] >= patience:
+                active.remove(name)
+        if not active:
+            break
+    history = spark.createDataFrame(rows, METRIC_HISTORY)
+    chosen = select_best_run(history, metric, patience=patience).first()["run_id"]
+    return PointerModel(best[chosen][2], buckets, max_len), history
 
 
 def best_epochs(

@@ -267,7 +267,7 @@ def test_all_stages(spark, tmp_path):
     assert tables.read_table(spark, root, "image_context").count() == 36
 
     history = train.train_from_store(
-        spark, root, model, "set", max_len=64, reg_params=[0.01], max_iter=5, buckets=128
+        spark, root, model, "set", max_len=64, reg_params=[0.01], max_epochs=4, buckets=128
     )
     assert {"loss", "val_loss", "val_iou", "val_exact_match"} == {r.metric for r in history.collect()}
     assert tables.read_table(spark, root, "training_data").count() == 36
@@ -334,7 +334,7 @@ def test_a_model_brings_its_vocabulary_and_length(spark, tmp_path):
     vocabulary.build_vocabulary(stored, texts).write.parquet(str(tmp_path / "vocab"))
     vocab = spark.read.parquet(str(tmp_path / "vocab"))
     train.train_from_store(
-        spark, root, model, "set", max_len=64, vocab=vocab, reg_params=[0.01], max_iter=2, buckets=128
+        spark, root, model, "set", max_len=64, vocab=vocab, reg_params=[0.01], max_epochs=2, buckets=128
     )
     loaded = training.PointerModel.load(model)
     assert (loaded.max_len, loaded.buckets) == (64, 128)

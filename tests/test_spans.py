@@ -122,30 +122,85 @@ def test_selection_by_overlap_takes_the_largest(spark):
     assert tuple(training.select_best_run(df, "val_iou").first()) == ("a", 1, 0.6)
 
 
-def test_training_learns_and_survives_a_reload(spark, tmp_path):
+def examples(spark, count=60):
+    from pairmine.operators import encoding
+
     rows = []
-    for i in range(60):
+    for i in range(count):
         before, width = i % 5, 2 + i % 2
         sequence = [2] + [20 + i % 7] * before + [4] + [50 + width] * 6 + [3]
         start = 1 + before
         rows.append((str(i), sequence, len(sequence), start, start + width - 1))
     schema = "context_id string, sequence array<int>, seq_len int, true_start_token int, true_end_token int"
-    from pairmine.operators import encoding
+    return encoding.pad_and_mask(spark.createDataFrame(rows, schema), 24)
+
 
-    data = encoding.pad_and_mask(spark.createDataFrame(rows, schema), 24).cache()
+def test_training_learns_and_survives_a_reload(spark, tmp_path):
+    data = examples(spark).cache()
     model, log = training.train_span_model(
-        spark, data, data, 24, reg_params=[0.0, 1.0], max_iter=10, monitor="val_iou", buckets=64
+        spark, data, data, 24, reg_params=[0.0, 1.0], max_epochs=10, monitor="val_iou", buckets=64, learning_rate=0.3
     )
-    metrics_ = {(r.run_id, r.metric): r.value for r in log.filter("metric != 'loss'").collect()}
-    assert metrics_[("reg=0.0", "val_iou")] > 0.7
+    values = {(r.run_id, r.metric, r.epoch): r.value for r in log.collect()}
+    assert {(run, name, e) for run in ("reg=0.0", "reg=1.0") for name in ("loss", "val_loss", "val_iou", "val_exact_match")
+            for e in range(10)} == set(values)
+    lengths = [len(r.sequence) for r in data.select("sequence").collect()]
+    assert values[("reg=0.0", "loss", 0)] == pytest.approx(np.log(lengths).mean())
+    losses = [values[("reg=0.0", "loss", e)] for e in range(10)]
+    assert losses == sorted(losses, reverse=True) and max(values[("reg=0.0", "val_iou", e)] for e in range(10)) > 0.7
+    # What an epoch validates is the loss that the next one starts from.
+    for e in range(9):
+        assert values[("reg=0.0", "val_loss", e)] == pytest.approx(losses[e + 1], abs=1e-4)
     model.save(str(tmp_path / "model"))
     training.write_history(log, str(tmp_path / "history"))
     loaded = training.PointerModel.load(str(tmp_path / "model"))
-    assert loaded.buckets == 64
-    assert training.evaluate(loaded, data, 24) == pytest.approx(training.evaluate(model, data, 24))
+    assert loaded.buckets == 64 and np.array_equal(loaded.weights, model.weights)
+    assert training.evaluate(loaded, data, 24) == training.evaluate(model, data, 24)
+    best = training.select_best_run(log, "val_iou").first()
+    assert training.evaluate(model, data, 24)["iou"] == pytest.approx(best.value)
     assert spark.read.json(str(tmp_path / "history")).count() == log.count()
-    # The batch scorer and the trained model agree on every position.
-    vectors = training.feature_vectors(training.position_rows(data.limit(1), 64), 64)
-    own = [float(v.rawPrediction[1]) for v in loaded.start.transform(vectors).collect()]
-    scored = prediction.predict_logits(data.limit(1), model.make_predict_fn(), 24).first()
-    assert scored.start_logits[: len(own)] == pytest.approx(own, abs=1e-3)
+
+
+def test_gradients_match_differences_and_partitions(spark):
+    data = examples(spark, 20)
+    rng = np.random.default_rng(1)
+    weights = rng.normal(size=(2, training.weight_count(16)))
+    gradient, loss, count = training.gradient_sums(data.repartition(5), {"a": weights}, 16)["a"]
+    assert count == 20
+    again = training.gradient_sums(data.coalesce(1), {"a": weights, "b": weights * 0}, 16)
+    assert np.allclose(again["a"][0], gradient) and again["a"][1] == pytest.approx(loss)
+    for head, place in [(0, 4), (1, 16 + 2), (0, 3 * 16 + training.MAX_DISTANCE), (1, 3 * 16 + training.MAX_DISTANCE + 1)]:
+        moved = weights.copy()
+        moved[head, place] += 1e-5
+        there = training.gradient_sums(data, {"a": moved}, 16)["a"][1]
+        assert (there - loss) / 1e-5 == pytest.approx(gradient[head, place], abs=1e-3)
+
+
+def test_patience_ends_a_run_and_keeps_its_best_epoch(spark):
+    data = examples(spark, 24).cache()
+    # Steps this large overshoot, so the loss rises again.
+    model, log = training.train_span_model(
+        spark, data, data, 24, reg_params=[3.0], max_epochs=30, patience=2, buckets=32, learning_rate=2.0
+    )
+    values = {r.epoch: r.value for r in log.filter("metric = 'val_loss'").collect()}
+    best = min(values, key=lambda e: (values[e], e))
+    assert len(values) < 30 and max(values) == best + 2
+    assert training.evaluate(model, data, 24)["loss"] == pytest.approx(values[best])
+
+
+def test_small_steps_and_no_validation(spark):
+    data = examples(spark, 24)
+    model, log = training.train_span_model(spark, data, None, 24, reg_params=[0.0], max_epochs=3, buckets=32, steps=2)
+    assert {r.metric for r in log.collect()} == {"loss"} and log.count() == 3
+    assert training.evaluate(model, data, 24)["loss"] < log.filter("epoch = 0").first().value
+
+
+def test_scorer_agrees_with_the_features(spark):
+    data = examples(spark, 5)
+    weights = np.random.default_rng(2).normal(size=(2, training.weight_count(32)))
+    scored = prediction.predict_logits(data, training.PointerModel(weights, 32).make_predict_fn(), 24).collect()
+    for row in scored:
+        tokens = np.array(row.sequence)
+        features = training.position_features(tokens, np.array([0]), np.array([len(tokens)]), 32)
+        own = sum(weights[0][f] for f in features)
+        assert row.start_logits[: len(tokens)] == pytest.approx(own.tolist(), abs=1e-4)
+        assert set(row.start_logits[len(tokens):]) <= {-10_000.0}

@@ -329,18 +329,25 @@ def _examples(spark, sf):
 
 
 def train_span_model(spark, sf):
+    """Facts that any right training has: the loss of no weights, one that falls, a row per epoch, a whole reload."""
     parts = ad.written(spark, sf, "examples", lambda: _examples(spark, sf))
-    model, history = training.train_span_model(
-        spark,
-        parts.filter("part = 'train'"),
-        parts.filter("part = 'validation'"),
-        ad.MAX_LEN,
-        reg_params=[0.01, 0.1],
-    )
+    train, validation = (parts.filter(F.col("part") == name) for name in ("train", "validation"))
+    model, history = training.train_span_model(spark, train, validation, ad.MAX_LEN, [0.0, 0.001], max_epochs=4)
     path = work_path(spark, "model")
     model.save(path)
     training.write_history(history, f"{path}/history")
-    return spark.read.schema(history.schema).json(f"{path}/history")
+    stored = spark.read.schema(history.schema).json(f"{path}/history")
+    best = training.select_best_run(history, "val_loss").first()
+    again = training.evaluate(training.PointerModel.load(path), validation, ad.MAX_LEN)["loss"]
+    losses = F.transform(F.array_sort(F.collect_list(F.when(F.col("metric") == "loss", F.struct("epoch", "value")))), lambda x: x["value"])
+    return stored.groupBy("run_id").agg(
+        F.count_if(F.col("metric") == "loss").alias("epochs"),
+        F.count_if(F.col("metric") == "val_loss").alias("validated"),
+        F.count_if(F.col("metric").isin("val_iou", "val_exact_match") & F.col("value").between(0, 1)).alias("shares"),
+        F.round(F.max(F.when((F.col("metric") == "loss") & (F.col("epoch") == 0), F.col("value"))), 6).alias("first_loss"),
+        (losses == F.reverse(F.array_sort(losses))).alias("falls"),
+        F.lit(abs(again - best["value"]) < 1e-9).alias("reloaded"),
+    )
 
 
 def select_best_run(spark, sf):
