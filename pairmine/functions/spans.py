@@ -69,10 +69,13 @@ def span_confidence(start: Column, end: Column, method: str = "geometric") -> Co
 
 
 def span_text(tokens: Column, start: Column, end: Column, specials: list[str]) -> Column:
-    """Tokens ``start`` to ``end`` (inclusive) as text, special tokens dropped."""
+    """Tokens ``start`` to ``end`` (inclusive) as text, special tokens dropped.
+
+    Pieces that go on within a word (``##…``) are joined to what stands before them.
+    """
     inside = F.slice(tokens, start + 1, F.greatest(end - start + 1, F.lit(0)))
     words = F.filter(inside, lambda t: ~t.isin(specials))
-    joined = F.array_join(words, " ")
+    joined = F.regexp_replace(F.replace(F.array_join(words, " "), F.lit(" ##"), F.lit("")), "^##(?=.)", "")
     for spaced, tight in SPACING:
         joined = F.replace(joined, F.lit(spaced), F.lit(tight))
     return F.btrim(joined)

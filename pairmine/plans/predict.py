@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pairmine import settings
-from pairmine.operators import encoding, prediction, store
+from pairmine.operators import encoding, prediction, store, subwords
 from pairmine.operators.training import PointerModel
 from pairmine.operators.vocabulary import encode_tokens, hashed_ids
 from pairmine.sources import tables
@@ -22,11 +22,15 @@ def inference_inputs(
 ) -> DataFrame:
     """Padded sequences of contexts, with their token strings.
 
-    The ids are hashed ones, without a shuffle, or those of a vocabulary.
+    The ids are hashed ones, without a shuffle, or those of a vocabulary of words or of pieces.
     """
     texts = ["context_before", "context_after"]
-    coded = hashed_ids(contexts.select("context_id", *texts), texts)
-    if vocab is not None:
+    given = contexts.select("context_id", *texts)
+    if subwords.is_piece_vocabulary(vocab):
+        coded = subwords.encode_pieces(given, texts, vocab)
+    else:
+        coded = hashed_ids(given, texts)
+    if vocab is not None and not subwords.is_piece_vocabulary(vocab):
         known = encode_tokens(contexts, "context_id", texts, vocab)
         coded = coded.drop(*[f"{c}_ids" for c in texts]).join(known, "context_id")
     ids = coded.select(

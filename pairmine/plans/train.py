@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmine import settings
-from pairmine.operators import encoding, split, store, training, vocabulary
+from pairmine.operators import encoding, split, store, subwords, training, vocabulary
 from pairmine.session import scratch
 from pairmine.sources import tables
 
@@ -14,7 +14,9 @@ _TEXTS = ["context_before", "context_after", "alt_text"]
 
 
 def with_token_ids(contexts: DataFrame, text_columns: list[str], vocab: DataFrame | None) -> DataFrame:
-    """Contexts with token ids: hashed ones, or those of a vocabulary."""
+    """Contexts with token ids: hashed ones, or those of a vocabulary of words or of pieces."""
+    if subwords.is_piece_vocabulary(vocab):
+        return subwords.encode_pieces(contexts, text_columns, vocab)
     if vocab is None:
         return vocabulary.hashed_ids(contexts, text_columns)
     ids = vocabulary.encode_tokens(contexts, "context_id", text_columns, vocab)

@@ -350,6 +350,13 @@ def test_a_model_brings_its_vocabulary_and_length(spark, tmp_path):
         assert seen <= set(row.input_ids) | {0}
         for number, token in zip(row.input_ids, row.sequence_tokens):
             assert token in ("[CLS]", "[IMG]", "[SEP]") or ids[token] == number
+    pieces = [(w[:3], 5 + i) for i, w in enumerate(sorted({w[:3] for w in WORDS}))]
+    pieces += [(f"##{c}", 100 + i) for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789")]
+    cut, by_piece = str(tmp_path / "pieces"), spark.createDataFrame(pieces, "piece string, piece_id int")
+    train.train_from_store(spark, root, cut, "pieces", max_len=64, vocab=by_piece, reg_params=[0.01], max_epochs=1, buckets=128)
+    assert predict.predict_from_store(spark, root, cut, "p0")["attempted"] == stored.count()
+    said = tables.read_table(spark, root, "predicted_descriptions").filter(F.col("model_path") == cut).collect()
+    assert all("##" not in r.predicted_text for r in said)
     assert predict.predict_from_store(spark, root, model, "p1")["attempted"] == stored.count()
     with pytest.raises(ValueError, match="length 64"):
         predict.predict_from_store(spark, root, model, "p2", max_len=128)

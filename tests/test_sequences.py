@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairmine.functions import text
-from pairmine.operators import encoding, split, vocabulary
+from pairmine.operators import encoding, split, subwords, vocabulary
 from pairmine.operators.vocabulary import CLS_ID, IMG_ID, PAD_ID, SEP_ID
 
 
@@ -159,3 +159,79 @@ def test_example_limit(spark):
 def test_tokenize(spark):
     df = spark.createDataFrame([("Été's a_b, c! x",)], "t string")
     assert df.select(text.tokenize(F.col("t"))).first()[0] == ["été", "'", "s", "a_b", ",", "c", "!", "x"]
+
+
+def random_pieces(rng, letters="abcé"):
+    pieces = {"".join(rng.choice(letters) for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(1, 40))}
+    pieces |= {"##" + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(40))}
+    return [(p, 5 + i) for i, p in enumerate(sorted(pieces))]
+
+
+def longest_first(word, known):
+    """Try every end from the last one down, at every place."""
+    out, start = [], 0
+    while start < len(word):
+        for end in range(len(word), start, -1):
+            piece = ("##" if start else "") + word[start:end]
+            if piece in known:
+                out.append(known[piece])
+                start = end
+                break
+        else:
+            return [vocabulary.UNKNOWN_ID]
+    return out if len(word) <= subwords.MAX_WORD_CHARS else [vocabulary.UNKNOWN_ID]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_pieces_equal_brute_force(seed):
+    import random
+
+    rng = random.Random(seed)
+    pieces = random_pieces(rng)
+    tries, known = subwords.build_trie(pieces), dict(pieces)
+    for _ in range(200):
+        word = "".join(rng.choice("abcéx") for _ in range(rng.choice([1, 2, 5, 12, 99, 101])))
+        assert [n for n, _ in subwords.cut_word(word, tries)] == longest_first(word, known)
+
+
+def test_pieces_equal_the_usual_word_piece_model():
+    import random
+
+    tokenizers = pytest.importorskip("tokenizers")
+    rng = random.Random(8)
+    for _ in range(10):
+        pieces = random_pieces(rng)
+        model = tokenizers.models.WordPiece(
+            vocab={**dict(pieces), "[UNK]": 1}, unk_token="[UNK]", max_input_chars_per_word=100
+        )
+        tries = subwords.build_trie(pieces)
+        for _ in range(200):
+            word = "".join(rng.choice("abcé") for _ in range(rng.randrange(1, 12)))
+            assert [n for n, _ in subwords.cut_word(word, tries)] == [t.id for t in model.tokenize(word)]
+
+
+def test_encode_pieces(spark):
+    pieces = spark.createDataFrame(
+        [("walk", 5), ("##ing", 6), ("##s", 7), ("a", 8), ("##b", 9), ("#", 10), ("dog", 11)], "piece string, piece_id int"
+    )
+    rows = [(1, "Walking dogs", "a"), (2, None, ""), (3, "zzz ab # walks" + "x" * 120, "dog"), (4, "", None)]
+    df = spark.createDataFrame(rows, "k long, t string, u string").repartition(3)
+    out = {r.k: r for r in subwords.encode_pieces(df, ["t", "u"], pieces).collect()}
+    assert (out[1].t_ids, out[1].t_tokens, out[1].t_words) == ([5, 6, 11, 7], ["walk", "##ing", "dog", "##s"], [0, 0, 1, 1])
+    assert out[1].u_ids == [8] and out[2].t_ids == [] == out[2].t_words == out[4].t_ids == out[4].u_ids
+    assert (out[3].t_ids, out[3].t_words) == ([1, 8, 9, 10, 1], [0, 1, 1, 2, 3])
+    assert subwords.encode_pieces(df.limit(0), ["t"], pieces).count() == 0
+    long = spark.createDataFrame([("x" * (subwords.MAX_VOCABULARY_CHARS + 1), 5)], "piece string, piece_id int")
+    with pytest.raises(ValueError, match="too large"):
+        subwords.encode_pieces(df, ["t"], long)
+
+
+def test_pieces_read_as_words_again(spark):
+    from pairmine.functions import spans
+
+    df = spark.createDataFrame([(["[IMG]", "walk", "##ing", "dog", "##s", ",", "#", "#"],)], "t array<string>")
+    read = df.select(
+        spans.span_text(F.col("t"), F.lit(0), F.lit(7), ["[IMG]"]).alias("all"),
+        spans.span_text(F.col("t"), F.lit(2), F.lit(3), ["[IMG]"]).alias("inside"),
+    ).first()
+    assert (read["all"], read["inside"]) == ("walking dogs, # #", "ing dog")

@@ -319,6 +319,23 @@ def corpus_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces made of the corpus vocabulary: usual words, their endings, and the letters of other words."""
+
+    def build() -> DataFrame:
+        words = corpus_vocabulary(spark, sf_dir)
+        usual = words.filter("n >= 20")
+        letters = words.filter("n >= 3").select(
+            F.explode(F.regexp_extract_all("token", F.lit("(?s)."), F.lit(0))).alias("token")
+        )
+        endings = usual.filter("length(token) >= 5").select(F.concat(F.lit("##"), F.substring("token", -3, 3)))
+        pieces = usual.select("token").union(endings).union(letters).union(letters.select(F.concat(F.lit("##"), "token")))
+        numbered = vocabulary.number_tokens(pieces.distinct().withColumn("n", F.lit(1)))
+        return numbered.select(F.col("token").alias("piece"), F.col("token_id").alias("piece_id"))
+
+    return written(spark, sf_dir, "pieces", build)
+
+
 def doc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as contexts with one key each."""
     return doc_contexts(spark, sf_dir).filter("warc_path = 'crawl-1.warc.gz'").select(

@@ -17,6 +17,7 @@ from pairmine.operators import (
     report,
     split,
     store,
+    subwords,
     training,
     vocabulary,
 )
@@ -278,6 +279,12 @@ def encode_tokens(spark, sf):
     return ids.select("doc_id", _joined("text_ids"))
 
 
+def encode_subwords(spark, sf):
+    docs = ad.table(spark, sf, "documents").select("doc_id", "text")
+    coded = subwords.encode_pieces(docs, ["text"], ad.piece_vocabulary(spark, sf))
+    return coded.select("doc_id", _joined("text_ids"), _joined("text_words"))
+
+
 def _training(spark, sf):
     return encoding.encode_training(ad.encoded_texts(spark, sf), ad.MAX_LEN)
 
@@ -562,7 +569,7 @@ QUERIES = {
         context_dedup, context_insert_ignore, context_key, training_candidates,
         training_contexts_page, inference_contexts_page, prediction_append, pending_queue,
         clip_upsert, status_transition, final_results, final_results_topk,
-        build_vocab, encode_tokens, encode_training, span_labels, training_rejects,
+        build_vocab, encode_tokens, encode_subwords, encode_training, span_labels, training_rejects,
         reject_counts, pad_and_mask, encode_inference, max_examples, train_val_split,
         train_span_model, select_best_run, batch_predict, span_argmax, span_softmax,
         valid_spans, decode_spans, span_confidence, exact_match, span_iou, inference_counters,
