@@ -67,11 +67,13 @@ def correlation(results: DataFrame) -> DataFrame:
 
 
 def _bin(value: Column, low: float, high: float, bins: int) -> Column:
-    """Bin number from 0; the upper edge belongs to the last bin."""
+    """Bin number from 0; the upper edge belongs to the last bin.
+
+    Values below ``low`` have bin -1, those above ``high`` bin ``bins``.
+    """
     step = (high - low) / bins
-    return F.greatest(
-        F.lit(0), F.least(F.lit(bins - 1), F.floor((value - F.lit(low)) / F.lit(step)))
-    ).cast("int")
+    inside = F.least(F.lit(bins - 1), F.floor((value - F.lit(low)) / F.lit(step)))
+    return F.when(value < low, -1).when(value > high, bins).otherwise(inside).cast("int")
 
 
 def histogram(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairmine.operators import contexts, pages, store
 from pairmine.session import scratch, stage
-from pairmine.sources import tables, warc
+from pairmine.sources import keys, tables, warc
 
 
 def contexts_of_records(records: DataFrame, **limits) -> DataFrame:
@@ -22,10 +22,12 @@ def new_contexts(found: DataFrame, root: str, batch: str, folder: str | None = N
 
     The deduplicated contexts are staged (below ``folder``, which the caller removes), so pages are
     parsed once whatever happens later, and their number decides how the stored keys are looked up.
+    Those lie in buckets, so the table is neither read nor shuffled (``sources.keys``).
     """
     staged = stage(store.dedup_contexts(found), "contexts", folder)
-    stored = tables.read_table(found.sparkSession, root, "image_context", without_batch=batch)
-    return store.insert_new(staged, stored, "context_id", staged.count())
+    known = keys.context_keys(found.sparkSession, root)
+    known.repair()
+    return known.missing(staged, batch, staged.count())
 
 
 def extract_archives(
@@ -66,7 +68,7 @@ def extract_archives(
             F.count(F.lit(1)).alias("contexts_added"),
             F.count_if("is_training_candidate").alias("contexts_marked"),
         )
-        tables.write_batch(rows, root, "image_context", batch)
+        keys.add_context_batch(rows, root, batch)
     return {**seen.get, **held_back.get, **added.get}
 
 

@@ -16,7 +16,7 @@ from pairmine import schemas
 from pairmine.operators import store
 from pairmine.plans import enrich, extract
 from pairmine.session import scratch, stage
-from pairmine.sources import tables
+from pairmine.sources import keys, tables
 
 
 def _start(stream: DataFrame, root: str, name: str, write: Callable) -> StreamingQuery:
@@ -34,8 +34,8 @@ def stream_contexts(
     """Add the new contexts of a stream of extracted contexts to the context table.
 
     ``found`` is ``extract_contexts`` (or ``contexts_of_records``) applied to a
-    stream.  Seen keys are looked up in the table by an anti-join on the key
-    column, not kept in a growing state store.
+    stream.  Seen keys are looked up in the buckets of the stored keys, not kept
+    in a growing state store.
     """
     spark = found.sparkSession
     tables.create_tables(spark, root)
@@ -44,7 +44,7 @@ def stream_contexts(
         label = f"{name}-{epoch:09d}"
         with scratch(batch.sparkSession, "stream-contexts") as folder:
             new = extract.new_contexts(batch, root, label, folder)
-            tables.write_batch(store.to_context_rows(new, mode), root, "image_context", label)
+            keys.add_context_batch(store.to_context_rows(new, mode), root, label)
 
     return _start(found, root, name, write)
 

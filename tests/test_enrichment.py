@@ -122,3 +122,11 @@ def test_self_similarity_is_one(spark):
     df = spark.createDataFrame(rows, "e array<float>")
     out = df.select(vectors.cosine(F.col("e"), F.col("e")).alias("s")).collect()
     assert all(r.s == pytest.approx(1.0) for r in out)
+
+
+def test_values_outside_have_bins_of_their_own(spark):
+    from pairmine.operators import report
+
+    values = [-1.5, -1.0, -0.95, 0.0, 0.999, 1.0, 1.0001, None]
+    df = spark.createDataFrame([(v,) for v in values], "clip_score double")
+    assert {r.bin: r.n for r in report.histogram(df).collect()} == {-1: 1, 0: 2, 10: 1, 19: 2, 20: 1}

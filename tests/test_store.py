@@ -157,3 +157,68 @@ def test_tables(spark, tmp_path):
     assert stored.schema == schemas.IMAGE_CONTEXT
     assert sorted(r.image_url for r in stored.collect()) == ["i", "j", "k"]
     assert tables.read_table(spark, root, "image_context", without_batch="b2").count() == 1
+
+
+def keyed(spark, numbers):
+    return spark.createDataFrame([(f"k{i}",) for i in numbers], "context_id string").withColumn("note", F.lit("x"))
+
+
+def store_with(spark, root):
+    from pairmine.sources import tables
+
+    tables.create_tables(spark, root)
+
+    def write(numbers, batch):
+        empty = tables.read_table(spark, root, "image_context").limit(0)
+        rows = empty.drop("context_id").unionByName(spark.createDataFrame([], empty.drop("context_id").schema))
+        full = keyed(spark, numbers).join(rows.withColumn("note", F.lit("x")), "note", "left").drop("note")
+        return full, batch
+
+    return write
+
+
+def test_bucketed_keys(spark, tmp_path, monkeypatch):
+    from pairmine.sources import keys, tables
+
+    monkeypatch.setattr(keys, "NAMED_KEYS", 5)
+    root = str(tmp_path)
+    write = store_with(spark, root)
+    table = keys.KeyTable(spark, root, "image_context", "context_id")
+    assert table.missing(keyed(spark, range(3)), "one").count() == 3
+    keys.add_context_batch(*[write(range(40), "one")[0], root, "one"])
+    keys.add_context_batch(*[write(range(40, 60), "two")[0], root, "two"])
+
+    def new(numbers, batch, count=None):
+        return sorted(r.context_id for r in table.missing(keyed(spark, numbers), batch, count).collect())
+
+    assert new(range(50, 65), "three") == [f"k{i}" for i in range(60, 65)]
+    assert new([1, 59, 70], "three", 3) == ["k70"]
+    assert new([1, 59, 70], "one", 3) == ["k1", "k70"]
+    # The stored side lies in buckets: only the batch is shuffled.
+    plan = table.missing(keyed(spark, range(50, 65)), "three")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    named = table.missing(keyed(spark, [1, 2]), "three", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 2 out of 64" in named or "SelectedBucketsCount: 1 out of 64" in named
+    # A batch whose keys were lost is read from the table; keys without their batch do not count.
+    tables.write_batch(write(range(100, 110), "three")[0], root, "image_context", "three")
+    assert new(range(105, 112), "four") == [f"k{i}" for i in range(105, 112)]
+    table.repair()
+    assert new(range(105, 112), "four") == ["k110", "k111"]
+    table.append(keyed(spark, [500]), "died")
+    assert new([500], "four") == ["k500"]
+
+
+def test_files_of_keys_are_bounded(spark, tmp_path, monkeypatch):
+    from pairmine.sources import keys, tables
+
+    monkeypatch.setattr(keys, "MAX_FILES", 2)
+    root = str(tmp_path)
+    write = store_with(spark, root)
+    table = keys.KeyTable(spark, root, "image_context", "context_id", buckets=4)
+    most = 0
+    for n in range(12):
+        tables.write_batch(write(range(10 * n, 10 * n + 10), f"b{n}")[0], root, "image_context", f"b{n}")
+        table.append(keyed(spark, range(10 * n, 10 * n + 10)), f"b{n}")
+        most = max(most, table.file_count())
+    assert most <= 4 * 2 and table.version() > 0 and len(table._children(table.folder)) == 1
+    assert table.missing(keyed(spark, range(125)), "new").count() == 5
