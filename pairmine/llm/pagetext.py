@@ -11,9 +11,11 @@ carry the same article would lose it.  All other lines stay only if the neighbou
 not share them, on pages with content elements, too.  Lines in menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments go in any case.
 
-The sort is a range partitioning, so a hot host spreads over many tasks.  A task holds
-some pages and writes a longer run to a temporary file until the run ends.  The first and
-the last run of a partition have one side to choose from.
+A host's pages are cut into stretches: a page whose hash says so opens one, about one in
+``STRETCH_PAGES``, fewer in a very large table.  Pairs are sought inside a stretch, so the
+first and the last run of a stretch have one side to choose from, the text depends on the table
+and not on how its rows are dealt, and a hot host spreads over many tasks.  A task holds some
+pages and writes a longer run to a temporary file until the run ends.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 
 from pairmine.llm.common import ship_code
 from pairmine.llm.urlrules import host_of, path_of
+from pairmine.session import stage
 
 # Names of HTML elements by their role.
 RAW = ("script", "style", "template", "noscript", "textarea", "title", "svg", "math", "iframe", "object")
@@ -45,7 +48,7 @@ VOID = "area base br col embed hr img input link meta param source track wbr".sp
 #: Words in a class, id or role that mark a region as boilerplate.
 _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|popup|modal|"
-    r"nav\w*|menu|breadcrumbs?|sidebar|aside|footer|header|masthead|comments?|replies|disqus|"
+    r"nav\w*|menu|breadcrumbs?|sidebar|aside|footer|header|masthead|comments?|commentlist|replies|disqus|"
     r"share|social|related|newsletter|subscribe|search|contentinfo|complementary)(?:$|[\s_-])",
     re.IGNORECASE,
 )
@@ -53,14 +56,28 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)",
     re.DOTALL,
 )
-_NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.IGNORECASE)
+#: The same inside a content element, where ids and some words are the author's own.
+_MARKED_INSIDE = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|popup|modal|"
+    r"nav\w*|menu|breadcrumbs?|sidebar|footer|comments?|commentlist|replies|disqus|"
+    r"share|social|related|newsletter|subscribe)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
+_COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|reply|disqus)(?:$|[\s_-])", re.IGNORECASE)
+_NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.IGNORECASE)
 _SPACE = re.compile(r"[ \t\n\r\f\v ]+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE) for name in RAW}
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+#: Raw elements that end at once if their tag says so; the others run to their end tag.
+_MAY_BE_EMPTY = ("svg", "math", "iframe", "object", "template", "noscript")
 OPEN, CLOSED, KEPT = 0, 1, 2
+#: Pages of a stretch, and stretches of a table, on average.
+STRETCH_PAGES, MOST_STRETCHES = 512, 20_000
 #: Pages are copies if their lines outside boilerplate share this part of their characters.
 COPY_NUMERATOR, COPY_DENOMINATOR = 4, 5
 #: Characters of a run that are held before they go to a file.
 _HELD = 8_000_000
+_BROADCAST_BYTES = 16 << 20
 
 
 class Page:
@@ -106,7 +123,7 @@ class Page:
                 continue
             if name in RAW:
                 close_block()
-                if not tag[1]:
+                if not tag[1] and not (name in _MAY_BE_EMPTY and tag[3].endswith("/")):
                     end = _RAW_END[name].search(markup, at)
                     at = end.end() if end else len(markup)
                 continue
@@ -126,22 +143,16 @@ class Page:
     def _enter(name: str, attributes: str, region: int) -> int:
         if region == CLOSED:
             return CLOSED
+        named = [(kind.lower(), value.strip("\"'")) for kind, value in _NAMED.findall(attributes)] if attributes else []
         if name in CONTENT:
-            return KEPT
+            return CLOSED if any(_COMMENTS.search(v) for kind, v in named if kind == "class") else KEPT
         if name in BOILERPLATE and not (name == "header" and region == KEPT):
             return CLOSED
-        if name not in ("html", "body") and attributes:
-            if any(_MARKED.search(m.strip("\"'")) for m in _NAMED.findall(attributes)):
-                return CLOSED
-        return region
-
-    def text(self, shared: set[int]) -> str:
-        """What the page alone calls its text: the content lines, or without any, the open ones."""
-        if KEPT in self.regions:
-            return "\n".join(x for x, r in zip(self.lines, self.regions, strict=True) if r == KEPT)
-        return "\n".join(
-            x for k, (x, r) in enumerate(zip(self.lines, self.regions, strict=True)) if r == OPEN and k not in shared
-        )
+        if name in HEADINGS or name in ("html", "body"):
+            return region
+        if region == KEPT:
+            return CLOSED if any(_MARKED_INSIDE.search(v) for kind, v in named if kind != "id") else KEPT
+        return CLOSED if any(_MARKED.search(v) for _, v in named) else region
 
     def main_text(self, shared: set[int]) -> str:
         """The content lines and the open lines that no neighbour shares, in page order."""
@@ -303,6 +314,27 @@ def _extract(batches: Iterator[pa.RecordBatch]):
     yield batch()
 
 
+def _in_stretches(keyed: DataFrame) -> DataFrame:
+    """``keyed`` with ``stretch``: how many pages of the host open a stretch up to this one.
+
+    The openers are few, whatever the size of the table; each row finds its place among those of
+    its host by bisection.
+    """
+    spacing = max(STRETCH_PAGES, keyed.count() // MOST_STRETCHES)
+    opens = F.pmod(F.xxhash64("host", "path", "page_id"), F.lit(spacing)) == 0
+    at = F.struct("path", "page_id")
+    openers = keyed.filter(opens).groupBy(F.col("host").alias("of")).agg(F.array_sort(F.collect_set(at)).alias("openers"))
+    openers = stage(openers, "page-openers")
+    held = openers.agg(F.sum(F.expr("aggregate(openers, 0L, (n, o) -> n + length(o.path) + 32)"))).first()[0] or 0
+    small = F.broadcast(openers) if held <= _BROADCAST_BYTES else openers
+    steps = ", ".join(str(1 << k) for k in range(17, -1, -1))
+    place = F.expr(
+        f"aggregate(array({steps}), 0, (p, b) -> if(p + b <= size(openers) and openers[p + b - 1] <= at, p + b, p))"
+    )
+    joined = keyed.withColumn("at", at).join(small, keyed["host"] == F.col("of"), "left")
+    return joined.withColumn("stretch", F.when(F.col("openers").isNull(), 0).otherwise(place)).drop("at", "of", "openers")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every row of ``pages`` (page_id, url, html).
 
@@ -318,6 +350,9 @@ def extract(pages: DataFrame) -> DataFrame:
         path_of(F.col("url")).alias("path"),
         F.col("html").alias("html"),
     )
-    order = ["host", "path", "page_id"]
-    dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    # A stretch is a host of its own to what follows; the hashes put rows of one key in an order.
+    stretched = _in_stretches(keyed)
+    own = stretched.withColumn("host", F.concat_ws(" ", "host", "stretch"))
+    order = [F.col("host"), F.col("path"), F.col("page_id"), F.xxhash64("url"), F.xxhash64("html")]
+    dealt = own.repartition("host").sortWithinPartitions(*order).drop("stretch")
     return dealt.mapInArrow(_extract, "page_id long, url string, text string")

@@ -33,15 +33,15 @@ def test_regions():
       <article><header><h1>Title &amp; more</h1></header><p>One  two<br>three<p>Four &lt;b&gt; <b>bold <i>it</b>
       <script>var t="</p>";</script><aside>Side</aside><form><p>Your mail</p></form><div class="comments"><p>First!</p></div>
       <ul><li>item</li></ul></article><footer>&copy; x</footer></body>"""
-    assert Page(1, "", "", "", markup).text(set()) == "Title & more\nOne two three\nFour <b> bold it\nitem"
+    assert Page(1, "", "", "", markup).main_text(set()) == "Title & more\nOne two three\nFour <b> bold it\nitem"
 
 
 def test_cut_and_odd_markup():
     for markup, text in [
         (None, ""), ("", ""), ("plain  text", "plain text"), ("<p>a<p>b</p", "a\nb"), ("<p>a<script>x", "a"), ("<p>1 < 2 &nbsp; 3", "1 < 2 3"),
-        ("<article><p>a &am", "a &am"), ('<p title="a>b">c', "c"), ("<main>m</main><p>o", "m"), ("<p>x<!-- y", "x"),
+        ("<article><p>a &am", "a &am"), ('<p title="a>b">c', "c"), ("<main>m</main><p>o", "m\no"), ("<p>x<!-- y", "x"),
     ]:
-        assert Page(1, "", "", "", markup).text(set()) == text
+        assert Page(1, "", "", "", markup).main_text(set()) == text
 
 
 def test_shared_lines_of_the_nearest_page_go(spark):
@@ -101,3 +101,38 @@ def test_a_long_run_of_copies_goes_through_a_file(monkeypatch):
     given = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
     got = [tuple(r.values()) for b in pagetext._extract(iter([given])) for r in b.to_pylist()]
     assert got == [(k, "", "The story of all copies") for k in range(50)] + [(50, "", "Quite another thing")]
+
+
+def test_article_text_stays_and_comments_go():
+    for markup, text in [
+        ('<article><h2 id="related-work">Related work</h2><p>a</article>', "Related work\na"),
+        ('<article><section id="search"><p>a</section><section id="social-history"><p>b</section></article>', "a\nb"),
+        ('<article><div class="article-header"><h1>T</h1></div><p>a</article>', "T\na"),
+        ('<p>a</p><h3 class="menu-title">b</h3>', "a\nb"),
+        ("<article><svg/><p>a</p><iframe src=x /><p>b</article>", "a\nb"),
+        ("<p>a</p><script src=x /><p>b</p></script><p>c", "a\nc"),
+        ('<article><p>a</article><article class="comment"><p>First!</article>', "a"),
+        ('<main><p>a</p><ol class="commentlist"><li>First!</ol></main>', "a"),
+        ('<main><p>a</p><div class="share">b</div><div class="sidebar">c</div></main>', "a"),
+        ('<div id="sidebar">x</div><p>a', "a"),
+    ]:
+        assert Page(1, "", "", "", markup).main_text(set()) == text
+
+
+def test_text_does_not_depend_on_the_dealing(spark, monkeypatch):
+    monkeypatch.setattr(pagetext, "STRETCH_PAGES", 8)
+    chosen = random.Random(12)
+    rows = []
+    for k in range(150):
+        body = "".join(f"<p>{chosen.choice('abcdefgh')} {k if k % 5 else k // 25}</p>" for _ in range(3))
+        rows.append((k % 140, f"http://{'hot' if k % 3 else chosen.choice('xyz')}/{chosen.choice('ab')}/{k // 4}", f"<div>Site name</div>{body}<div>Imprint</div>"))
+    pages = spark.createDataFrame(rows, PAGES)
+    results = []
+    for parts in (1, 6, 24):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found = pagetext.extract(pages.repartition(parts)).collect()
+        results.append(sorted(tuple(r) for r in found))
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert len(results[0]) == 150 and results[0] == results[1] == results[2]
+    kept = sum("Site name" in r[2] for r in results[0])
+    assert kept < 15
