@@ -95,6 +95,34 @@ def test_exact_quantiles(spark, kind):
         assert out[q] == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
 
 
+@pytest.mark.parametrize("kind", ["uniform", "heavy", "ties", "wide"])
+def test_quantiles_by_narrowing(spark, monkeypatch, kind):
+    from pairmine.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "BAND_VALUES", 20)
+    rng = np.random.default_rng(8)
+    values = {
+        "uniform": rng.random(60_000),
+        "heavy": np.exp(rng.normal(size=60_000) * 40),
+        "ties": np.where(rng.random(60_000) < 0.35, 0.25, rng.random(60_000)),
+        "wide": np.concatenate([rng.random(59_998) * 1e-9, [1e300, -1e300]]),
+    }[kind]
+    ranked, bands = quantiles._ranked, []
+
+    def watched(rows, targets, group):
+        bands.extend(targets.collect())
+        return ranked(rows, targets, group)
+
+    monkeypatch.setattr(quantiles, "_ranked", watched)
+    df = spark.createDataFrame([("m", float(v)) for v in values], "measure string, value double").repartition(6)
+    qs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    out = {r.probability: r.value for r in exact_quantiles(df, "measure", "value", qs).collect()}
+    for q in qs:
+        assert out[q] == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
+    for band in bands:
+        assert len(set(values[(values >= band["_low"]) & (values <= band["_high"])])) <= 40
+
+
 RESULTS = (
     "prediction_id string, image_url string, predicted_text string, start_confidence double, "
     "end_confidence double, average_confidence double, span_confidence double, clip_score double"
