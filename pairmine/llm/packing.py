@@ -3,10 +3,11 @@
 Every document becomes its token ids and a closing id.  Full windows are cut off
 its front; the rest, shorter than a window, is placed online into the fill level
 that keeps the sum of squared counts of partially filled windows smallest.  The
-state of a task is one count and one stack of open windows per level, so memory is
-bounded by the window size and not by the input, and documents never move: the scan
-is the only stage.  When a task ends, the pieces of its emptiest open windows are
-cut to fill the fullest ones, so that at most one window of a task is padded.
+state of a task is one count and one stack of open windows per level; documents never
+move: the scan is the only stage.  Rests that fit no other (each longer than half a
+window, say) leave a window open each.  When the open windows hold ``OPEN_TOKENS``, and
+when the task ends, the pieces of the emptiest are cut to fill the fullest, so a task
+holds a bounded number of tokens and pads at most one window.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ _OUT = pa.schema(
     ]
 )
 _BATCH_TOKENS = 1_000_000
+#: Tokens that the open windows of a task hold at most.
+OPEN_TOKENS = 4_000_000
 
 
 class Levels:
@@ -44,6 +47,7 @@ class Levels:
 
     def __init__(self, capacity: int):
         self.capacity = capacity
+        self.held = 0
         self.counts = np.zeros(capacity + 1, dtype=np.int64)
         self.stacks: list[list[list]] = [[] for _ in range(capacity + 1)]
 
@@ -77,15 +81,23 @@ class Levels:
             window = []
         window.append(piece)
         if level + size == self.capacity:
+            self.held -= level
             return window
+        self.held += size
         self.stacks[level + size].append(window)
         self.counts[level + size] += 1
         return None
 
     def drain(self) -> Iterator[list]:
-        """Windows for what is still open: the emptiest fill the fullest."""
+        """Full windows from what is open: the emptiest fill the fullest.
+
+        One window at most stays open; ``last`` gives it.
+        """
         rest = [w for stack in reversed(self.stacks) for w in stack]
         fills = [sum(p[2] for p in w) for w in rest]
+        self.counts[:] = 0
+        self.stacks = [[] for _ in self.stacks]
+        self.held = 0
         low, high = 0, len(rest) - 1
         while low < high:
             room = self.capacity - fills[low]
@@ -103,7 +115,13 @@ class Levels:
                 yield rest[low]
                 low += 1
         if rest and low <= high and rest[low]:
-            yield rest[low]
+            fill = sum(p[2] for p in rest[low])
+            self.stacks[fill].append(rest[low])
+            self.counts[fill] += 1
+            self.held = fill
+
+    def last(self) -> list[list]:
+        return [w for stack in self.stacks for w in stack]
 
 
 def _pack(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int):
@@ -136,6 +154,12 @@ def _pack(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int):
             [pa.array(c, type=f.type) for c, f in zip(columns, _OUT, strict=True)], schema=_OUT
         )
 
+    def closed():
+        for window in levels.drain():
+            emit(window)
+            if held > _BATCH_TOKENS:
+                yield flush()
+
     for batch in batches:
         ids_of = batch.column(0)
         texts = batch.column(1)
@@ -152,7 +176,10 @@ def _pack(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int):
                     emit(filled)
             if held > _BATCH_TOKENS:
                 yield flush()
-    for window in levels.drain():
+            if levels.held > OPEN_TOKENS:
+                yield from closed()
+    yield from closed()
+    for window in levels.last():
         emit(window)
     yield flush()
 

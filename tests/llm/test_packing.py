@@ -1,8 +1,10 @@
 import collections
 import random
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -101,5 +103,27 @@ def test_choice_is_the_least_sum_of_squares():
         levels.place((n, 0, size, b"\0" * 4 * size, size), size)
 
 
+def test_rests_that_fit_no_other_are_closed_in_time(spark, whole, monkeypatch):
+    monkeypatch.setattr(packing, "OPEN_TOKENS", 2_000)
+    monkeypatch.setattr(packing, "_BATCH_TOKENS", 1_000)
+    most, place = [], packing.Levels.place
+
+    def watched(levels, piece, size):
+        out = place(levels, piece, size)
+        most.append((levels.held, sum(p[2] for stack in levels.stacks for w in stack for p in w)))
+        return out
+
+    monkeypatch.setattr(packing.Levels, "place", watched)
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    texts = {i: "word " * 43 for i in range(400)}
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(texts), "text": list(texts.values())})
+    batches = list(packing._pack(iter([batch]), vocabulary_path(), 64))
+    rows = [types.SimpleNamespace(**r) for b in batches for r in b.to_pylist()]
+    windows = check_pieces(rows, whole, texts, 64)
+    assert all(held == open_ for held, open_ in most) and max(held for held, _ in most) <= 2_064
+    assert max(sum(b.column("length").to_pylist()) for b in batches) <= 1_128
+    assert len(windows) == -(-sum(r.length for r in rows) // 64)
+
+
 def test_query_digest(spark):
     assert zlib.crc32(np.array([0], "<u4").tobytes()) == 558161692
