@@ -121,6 +121,12 @@ def mark_training_candidates(contexts: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+#: A page that ends before this many rows is found by each task keeping its first rows.
+DIRECT_ROWS = 10_000
+#: Archive bytes (compressed) that one entry of the rank index stands for.
+STRETCH_BYTES = 1 << 20
+
+
 def _page(df: DataFrame, order: list[str], limit: int | None, offset: int) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in the given order; all rows, unsorted, without a limit.
 
@@ -129,7 +135,65 @@ def _page(df: DataFrame, order: list[str], limit: int | None, offset: int) -> Da
     """
     if limit is None:
         return df
-    return df.orderBy(*order).offset(offset).limit(limit)
+    if offset + limit <= DIRECT_ROWS:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    return ranked_page(df, order, limit, offset)
+
+
+def _overlap(sizes: DataFrame, place: list[str], low: int, high: int) -> tuple | None:
+    """First and last place whose rows are among ranks ``low`` to ``high``, and the rows before."""
+    running = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = sizes.withColumn("_end", F.sum("_size").over(running))
+    hit = counted.filter((F.col("_end") > low) & (F.col("_end") - F.col("_size") < high))
+    at = F.struct(*place)
+    found = hit.agg(
+        F.min(at).alias("first"), F.max(at).alias("last"), F.min(F.col("_end") - F.col("_size")).alias("before")
+    ).first()
+    return (found["first"], found["last"], found["before"]) if found["before"] is not None else None
+
+
+def _between(first, last, places: dict[str, Column]) -> Column:
+    """Places from ``first`` to ``last``, nulls first; on the leading column as a plain
+    comparison, too, which reaches the scan."""
+    at = F.struct(*[c.alias(n) for n, c in places.items()])
+
+    def edge(row):
+        return F.struct(*[F.lit(row[n]).cast("string" if n == "warc_path" else "long").alias(n) for n in places])
+
+    inside = (at >= edge(first)) & (at <= edge(last))
+    path = places["warc_path"]
+    if first["warc_path"] is not None:
+        inside &= (path >= first["warc_path"]) & (path <= last["warc_path"])
+    elif last["warc_path"] is None:
+        inside &= path.isNull()
+    return inside
+
+
+def ranked_page(
+    df: DataFrame, order: list[str], limit: int, offset: int, stretch: int = STRETCH_BYTES
+) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` in the given order, without sorting those before.
+
+    ``order`` starts with ``warc_path`` and ``record_offset``.  Rows are counted by archive,
+    then, in the archives that the page meets, by stretches of so many archive bytes; running
+    counts show in which stretches the page lies, and only their rows are read in full and
+    sorted.  Counting reads the two columns and pre-aggregates; what one task ranks is a row
+    for each archive, then for each stretch of the page's archives.  Nulls come first.  Both
+    counts run when the page is asked for.
+    """
+    path, record = F.col(order[0]), F.col(order[1]).cast("long")
+    high = offset + limit
+    by_path = df.groupBy(path.alias("warc_path")).agg(F.count(F.lit(1)).alias("_size"))
+    archives = _overlap(by_path, ["warc_path"], offset, high)
+    if archives is None:
+        return df.limit(0)
+    first, last, before = archives
+    near = df.filter(_between(first, last, {"warc_path": path}))
+    places = {"warc_path": path, "stretch": F.floor(record / F.lit(stretch)).cast("long")}
+    by_stretch = near.groupBy(*[c.alias(n) for n, c in places.items()]).agg(F.count(F.lit(1)).alias("_size"))
+    first, last, inner = _overlap(by_stretch, list(places), offset - before, high - before)
+    rows = near.filter(_between(first, last, places))
+    return rows.orderBy(*order).offset(offset - before - inner).limit(limit)
 
 
 def training_contexts(contexts: DataFrame, limit: int | None = None, offset: int = 0) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,3 +224,31 @@ def test_files_of_keys_are_bounded(spark, tmp_path, monkeypatch):
         most = max(most, table.file_count())
     assert most <= 4 * 2 and table.version() > 0 and len(table._children(table.folder)) == 1
     assert table.missing(keyed(spark, range(125)), "new").count() == 5
+
+
+def test_far_pages_equal_sorted_slices(spark):
+    chosen = random.Random(8)
+    rows = [
+        (i, chosen.choice([None, "", "a", "b", "c"]), chosen.choice([None, *range(0, 900)]), chosen.randrange(3))
+        for i in range(600)
+    ]
+    df = spark.createDataFrame(rows, "id long, warc_path string, record_offset long, img_pos int").repartition(4)
+    order = ["warc_path", "record_offset", "img_pos", "id"]
+    whole = [r.id for r in df.orderBy(*order).collect()]
+    for offset, limit in [(0, 5), (100, 40), (117, 300), (590, 50), (599, 1), (600, 5), (0, 600), (250, 0)]:
+        got = [r.id for r in store.ranked_page(df, order, limit, offset, stretch=50).collect()]
+        assert got == whole[offset : offset + limit], (offset, limit)
+    assert store.ranked_page(df.limit(0), order, 5, 0).count() == 0
+
+
+def test_far_pages_read_their_stretch_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "DIRECT_ROWS", 100)
+    rows = [row(f"i{n}", "p", offset=100 * n, warc=f"w{n // 500}") for n in range(2_000)]
+    store.to_context_rows(store.with_context_id(found(spark, *rows)), "inference").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    page = store.inference_contexts(stored, limit=30, offset=1_200)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "GreaterThanOrEqual(warc_path,w2)" in plan
+    assert [r.image_url for r in page.collect()] == [f"i{n}" for n in range(1_200, 1_230)]
+    near = store.inference_contexts(stored, limit=30, offset=20)
+    assert [r.image_url for r in near.collect()] == [f"i{n}" for n in range(20, 50)]

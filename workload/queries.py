@@ -190,6 +190,13 @@ def inference_contexts_page(spark, sf):
     return store.inference_contexts(ad.stored_contexts(spark, sf), limit=100, offset=50)
 
 
+def contexts_far_page(spark, sf):
+    """A page behind many rows, found by counts; record numbers are small here, and so are the stretches."""
+    columns = ["context_id", "context_before", "context_after", "alt_text", "image_url", "page_url"]
+    order = [*store.INSERTION_ORDER, "context_id"]
+    return store.ranked_page(ad.stored_contexts(spark, sf), order, 200, 120, stretch=16).select(*columns)
+
+
 def prediction_append(spark, sf):
     stored = store.to_prediction_rows(
         ad.span_rows(spark, sf).filter("start_confidence > 0.5"), "models/a"
@@ -567,7 +574,7 @@ QUERIES = {
         page_body, page_text, page_images, resolve_url, anchor_segments, image_contexts,
         context_word_filter, normalize_text, alt_in_context, bad_page_quarantine,
         context_dedup, context_insert_ignore, context_key, training_candidates,
-        training_contexts_page, inference_contexts_page, prediction_append, pending_queue,
+        training_contexts_page, inference_contexts_page, contexts_far_page, prediction_append, pending_queue,
         clip_upsert, status_transition, final_results, final_results_topk,
         build_vocab, encode_tokens, encode_subwords, encode_training, span_labels, training_rejects,
         reject_counts, pad_and_mask, encode_inference, max_examples, train_val_split,
