@@ -13,6 +13,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from pairmine.functions.charsets import guessed_charset
+
 # Marks a kept image inside the text: START <position> STOP.
 ANCHOR_START = "\u0001"
 ANCHOR_STOP = "\u0002"
@@ -100,7 +102,8 @@ def decode_page(
     """Bytes to text.
 
     The character set comes from a byte-order mark, else from the response header, else
-    from the page's own ``<meta>`` declaration wherever it stands, else it is UTF-8.
+    from the page's own ``<meta>`` declaration wherever it stands, else it is UTF-8 or, with
+    ``all_charsets`` and bytes that are not UTF-8, the set that explains them best.
     Western single-byte sets all read as windows-1252; invalid sequences become replacement
     characters, so no page can raise.  ``all_charsets`` adds the sets of ``CHARSETS`` and
     UTF-16; the column must then be analysed inside ``java_charsets``.
@@ -132,6 +135,9 @@ def decode_page(
         wide = F.substring(html_bytes, 1, 2).isin(b"\xfe\xff", b"\xff\xfe")
         text = text.when(wide, F.call_function("decode", html_bytes, F.lit("UTF-16")))
         text = text.when(other.isNotNull(), F.call_function("decode", html_bytes, other))
+        silent = (declared == "") & ~F.is_valid_utf8(html_bytes.cast("string"))
+        guessed = F.call_function("decode", html_bytes, guessed_charset(html_bytes))
+        text = text.when(silent, F.coalesce(guessed, F.make_valid_utf8(html_bytes.cast("string"))))
     return text.when(western, single_byte).otherwise(F.make_valid_utf8(html_bytes.cast("string")))
 
 

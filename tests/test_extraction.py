@@ -254,6 +254,59 @@ def test_decode_page(spark):
     assert out[3].startswith("bad ") and out[3].endswith(" bytes")
 
 
+# Sentences that no list of frequent letters was made from, by the sets that write them.
+SENTENCES = {
+    "Вчера вечером мы долго гуляли по набережной, потом зашли в маленькое кафе.": "cp1251 koi8_r iso8859_5 cp866",
+    "Стара бібліотека зачинена на ремонт до кінця місяця.": "cp1251 koi8_u",
+    "Die Bäume blühen schon, aber über den Hügeln liegt noch früh der weiße Nebel.": "cp1252",
+    "Le théâtre était fermé, nous avons donc dîné près de la forêt où naît le ruisseau.": "cp1252",
+    "El niño pequeño comió una piña en la montaña y después durmió más de una hora.": "cp1252",
+    "Zażółcone liście spadały wolno na ścieżkę, gdy wiał północny wiatr.": "cp1250 iso8859_2",
+    "Příliš žluťoučký kůň běžel přes zelenou louku až k řece.": "cp1250 iso8859_2",
+    "Çocuklar bahçede oynarken güneş yavaşça dağın ardında kayboldu, ışık söndü.": "cp1254",
+    "Το παλιό λιμάνι γεμίζει κάθε πρωί με βάρκες και φωνές ψαράδων.": "cp1253",
+    "הספרייה הישנה סגורה היום אבל הגן פתוח לכל המבקרים עד הערב": "cp1255",
+    "المكتبة القديمة مغلقة اليوم لكن الحديقة مفتوحة للزوار حتى المساء": "cp1256",
+    "ห้องสมุดเก่าปิดวันนี้แต่สวนสาธารณะเปิดให้เข้าชมจนถึงเย็น": "cp874",
+    "昨日の夜、私たちは海辺を長く歩いてから、小さな喫茶店に入りました。": "cp932 euc_jp",
+    "图书馆今天关门了，但是花园一直开放到晚上，我们可以在那里看书。": "gb18030",
+    "圖書館今天關門了，但是花園一直開放到晚上，我們可以在那裡看書。": "big5",
+    "오래된 도서관은 오늘 문을 닫았지만 정원은 저녁까지 방문객에게 열려 있습니다.": "euc_kr",
+}
+
+
+def test_undeclared_character_sets(spark):
+    wrap = '<html><head><title>x</title></head><body class="a"><p>{}</p><img src="/a.png" alt="b"></body></html>'
+    rows = [(wrap.format(t), codec) for t, codecs in SENTENCES.items() for codec in codecs.split()]
+    data = [(i, t.encode(codec), "text/html") for i, (t, codec) in enumerate(rows)]
+    df = spark.createDataFrame(data, "i int, html_bytes binary, content_type string").repartition(4)
+    got = {r.i: r.html for r in pages.decode_pages(df).collect()}
+    wrong = [(codec, got[i][50:90]) for i, (t, codec) in enumerate(rows) if got[i] != t]
+    assert not wrong, wrong
+
+
+def test_no_guess_without_reason(spark):
+    import time
+
+    cases = [
+        (b"bad \xff\xfe bytes", None),
+        ("Ünïcödé and дом and 日本".encode() + b"\xff", "Ünïcödé and дом and 日本\ufffd"),
+        ("Ünïcödé".encode(), "Ünïcödé"),
+        (b"", ""),
+        (None, None),
+        ("<meta charset=utf-8>дом".encode("cp1251"), None),
+        (b"a" * 300_000 + "день ".encode("cp1251") * 60_000, "a" * 300_000 + "день " * 60_000),
+        (b"\x81\xff" * 200_000, None),
+    ]
+    data = [(i, b, "text/html") for i, (b, _) in enumerate(cases)]
+    df = spark.createDataFrame(data, "i int, html_bytes binary, content_type string")
+    start = time.monotonic()
+    got = {r.i: r.html for r in pages.decode_pages(df).collect()}
+    assert time.monotonic() - start < 60
+    for i, (b, text_) in enumerate(cases):
+        assert got[i] == text_ if text_ is not None or b is None else "\ufffd" in got[i], i
+
+
 def test_declared_character_sets(spark):
     texts = {
         "windows-1251": "Привет, мир", "koi8-r": "Привет", "iso-8859-2": "Żółć", "shift_jis": "日本語テスト",
