@@ -90,8 +90,7 @@ class KeyTable:
                 self._files.delete(self._path(f"{self.folder}/{name}"), True)
 
     def _table_batches(self) -> list[str]:
-        names = self._children(f"{self.root.rstrip('/')}/{self.table}")
-        return [n.removeprefix("batch=") for n in names if n.startswith("batch=")]
+        return tables.batches(self.spark, self.root, self.table).names()
 
     def repair(self) -> None:
         """Add the keys of batches that the table holds and the keys lack."""
@@ -99,9 +98,7 @@ class KeyTable:
         known = {r["batch"] for r in stored.select("batch").distinct().collect()} if stored is not None else set()
         for batch in self._table_batches():
             if batch not in known:
-                rows = self.spark.read.schema(f"{self.key} string").parquet(
-                    f"{self.root.rstrip('/')}/{self.table}/batch={batch}"
-                )
+                rows = tables.batches(self.spark, self.root, self.table).read_batch(batch)
                 if not rows.isEmpty():
                     self._write(rows.select(self.key, F.lit(batch).alias("batch")), self.version() or 0)
 

@@ -2,7 +2,8 @@
 
 A batch is one sub-folder ``batch=<name>``.  Writing a batch again replaces
 exactly that batch, so a repeated micro-batch or a repeated job leaves no
-duplicates, whatever was lost in between.
+duplicates, whatever was lost in between.  ``compact`` merges small batches
+(``sources.segments``); a merged batch can be read and replaced like any other.
 """
 
 from __future__ import annotations
@@ -11,11 +12,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pairmine.schemas import TABLES
+from pairmine.sources.segments import FAN_IN, Batches
 
 _EMPTY_BATCH = "created"
+#: Tables whose new folders a stream follows; merging would take folders away unread.
+FOLLOWED = ("predicted_descriptions",)
 
 
 def _path(root: str, name: str) -> str:
@@ -42,13 +45,24 @@ def read_table(
 
     A batch that is being written again must not see its own earlier rows.
     """
-    schema = T.StructType(TABLES[name].fields + [T.StructField("batch", T.StringType())])
-    stored = spark.read.schema(schema).parquet(_path(root, name))
+    stored = batches(spark, root, name).read()
     if without_batch is not None:
         stored = stored.filter(F.col("batch") != without_batch)
     return stored.drop("batch")
 
 
+def batches(spark: SparkSession, root: str, name: str) -> Batches:
+    """Where the batches of a table lie."""
+    return Batches(spark, _path(root, name), TABLES[name])
+
+
+def compact(spark: SparkSession, root: str, name: str, fan_in: int = FAN_IN) -> None:
+    """Merge the small batches of a table when ``fan_in`` of them have piled up."""
+    if name in FOLLOWED:
+        raise ValueError(f"a stream follows the batches of {name}")
+    batches(spark, root, name).compact({_EMPTY_BATCH}, fan_in)
+
+
 def write_batch(df: DataFrame, root: str, name: str, batch: str) -> None:
     """Write ``df`` as one batch of a table, in the table's column order and types.
 

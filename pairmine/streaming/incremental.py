@@ -45,6 +45,7 @@ def stream_contexts(
         with scratch(batch.sparkSession, "stream-contexts") as folder:
             new = extract.new_contexts(batch, root, label, folder)
             keys.add_context_batch(store.to_context_rows(new, mode), root, label)
+        tables.compact(batch.sparkSession, root, "image_context")
 
     return _start(found, root, name, write)
 
@@ -85,5 +86,6 @@ def stream_enrichment(
                 pending, assets, add_embeddings, F.unix_micros(F.current_timestamp()), **limits
             )
             tables.write_batch(rows, root, "clip_results", label)
+        tables.compact(session, root, "clip_results")
 
     return _start(predictions, root, name, write)
