@@ -235,3 +235,24 @@ def test_pieces_read_as_words_again(spark):
         spans.span_text(F.col("t"), F.lit(2), F.lit(3), ["[IMG]"]).alias("inside"),
     ).first()
     assert (read["all"], read["inside"]) == ("walking dogs, # #", "ing dog")
+
+
+def test_large_vocabulary_sends_dictionaries_not_occurrences(spark):
+    rows = [(str(i), "a b " * 40 + f"w{i}", "c " * i) for i in range(60)] + [("60", None, ""), ("7", "z a", "q"), (None, "a z", None)]
+    df = spark.createDataFrame(rows, "k string, x string, y string")
+    vocab = vocabulary.build_vocabulary(df, ["x", "y"]).cache()
+    known = {r.token: r.token_id for r in vocab.collect()}
+    got = vocabulary.encode_tokens(df, "k", ["x", "y"], vocab, vocabulary_rows=10**9)
+    assert "collect_list" not in got._jdf.queryExecution().toString()  # an entry per occurrence before
+    by_key = {r.k: r for r in got.collect()}
+    assert len(by_key) == got.count() == 62
+    for k, x, y in rows:
+        if k != "7":
+            assert by_key[k].x_ids == [known[t] for t in (x or "").split()]
+            assert by_key[k].y_ids == [known[t] for t in (y or "").split()]
+    held = vocabulary.encode_tokens(df, "k", ["x"], vocab, vocabulary_rows=10**9, keep=["y"]).collect()
+    assert sorted((r.k, r.y, len(r.x_tokens)) for r in held if r.k != "7") == sorted(
+        (k, y, len((x or "").split())) for k, x, y in rows if k not in ("7", None)
+    )
+    seven = [r for r in held if r.k == "7"]
+    assert len(seven) == 2 and seven[0].x_ids == seven[1].x_ids
