@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmine import settings
-from pairmine.functions import text
 from pairmine.operators import contexts as extraction
 from pairmine.operators import enrichment, prediction, store, vocabulary
 from pairmine.operators.skew import hot_keys
@@ -348,17 +347,18 @@ def encoded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build():
         texts = doc_texts(spark, sf_dir)
-        ids = vocabulary.encode_tokens(
+        coded = vocabulary.encode_tokens(
             texts,
             "context_id",
             ["context_before", "context_after", "alt_text"],
             corpus_vocabulary(spark, sf_dir),
+            keep=["alt_text"],
         )
-        return texts.join(ids, "context_id").select(
+        return coded.select(
             "context_id",
             "alt_text",
-            text.tokenize(F.col("context_before")).alias("before_tokens"),
-            text.tokenize(F.col("context_after")).alias("after_tokens"),
+            F.col("context_before_tokens").alias("before_tokens"),
+            F.col("context_after_tokens").alias("after_tokens"),
             F.col("context_before_ids").alias("before_ids"),
             F.col("context_after_ids").alias("after_ids"),
             F.col("alt_text_ids").alias("alt_ids"),
