@@ -256,3 +256,20 @@ def test_large_vocabulary_sends_dictionaries_not_occurrences(spark):
     )
     seven = [r for r in held if r.k == "7"]
     assert len(seven) == 2 and seven[0].x_ids == seven[1].x_ids
+
+
+def test_pieces_take_little_memory_and_slices_change_nothing(spark, monkeypatch):
+    import tracemalloc
+
+    pieces = [(f"{'##' * (i % 2)}{i * 7919:09x}", i) for i in range(50_000)]
+    tracemalloc.start()
+    tries = subwords.build_trie(pieces)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 150 * len(pieces)  # a dictionary per letter took many times that
+    assert [n for n, _ in subwords.cut_word(f"{2 * 7919:09x}{3 * 7919:09x}", tries)] == [2, 3]
+    vocab = spark.createDataFrame([("a", 5), ("##b", 6)], "piece string, piece_id int")
+    df = spark.createDataFrame([(i, "ab a x " * i) for i in range(30)], "k long, t string").coalesce(1)
+    monkeypatch.setattr(subwords, "SLICE_WORDS", 7)
+    for r in subwords.encode_pieces(df, ["t"], vocab).collect():
+        assert r.t_ids == [5, 6, 5, 1] * r.k and r.t_words == [w for i in range(r.k) for w in (3 * i, 3 * i, 3 * i + 1, 3 * i + 2)]
