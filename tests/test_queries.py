@@ -52,3 +52,18 @@ def test_entry(spark):
 
 def test_every_twin_has_a_query():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+def test_alt_texts_are_looked_for_in_kept_contexts_only(spark, tmp_path, monkeypatch):
+    from pairmine.operators import store
+    from workload import adapters
+
+    rows = [(i, f"word{i} one two three four five six", "en", "src1", i % 3) for i in range(40)] + [(51, None, None, "src2", 5)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    wide = store.to_context_rows(store.dedup_contexts(adapters.doc_contexts(spark, str(tmp_path))), "training")
+    given, dedup = [], store.dedup_contexts
+    monkeypatch.setattr(store, "dedup_contexts", lambda df: given.append(df.columns) or dedup(df))
+    kept = adapters.stored_contexts(spark, str(tmp_path))
+    assert given and "found_alt_in_context" not in given[0]
+    times = "extraction_timestamp"
+    assert sorted(map(str, kept.drop(times).collect())) == sorted(map(str, wide.drop(times).collect()))

@@ -140,11 +140,11 @@ def _words(column: str):
     return F.filter(F.split(column, "[ \\t\\r\\n]+"), lambda w: w != "")
 
 
-def doc_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _doc_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extracted contexts made of documents: every one crawled twice.
 
     The text before the image is the first half of the words, the text after it
-    the second half; the alt text is words 3 to 7, or empty.
+    the second half; the alt text is words 3 to 7, or empty.  The texts are made before a row is doubled.
     """
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "source", "n_chars", _words("text").alias("words")
@@ -157,8 +157,7 @@ def doc_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("doc_id") % 17 == 0, "")
         .otherwise(F.array_join(F.slice("words", 3, 5), " "))
         .alias("alt_text"),
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("crawl"),
-    )
+    ).drop("words").withColumn("crawl", F.explode(F.array(F.lit(1), F.lit(2))))
     before = F.col("context_before")
     after = F.when(F.col("crawl") == 2, F.concat("context_after", F.lit(" again"))).otherwise(
         F.col("context_after")
@@ -183,17 +182,30 @@ def doc_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
         before.alias("context_before"),
         after.alias("context_after"),
         "alt_text",
-    ).withColumn(
+    )
+
+
+def _with_found(contexts: DataFrame) -> DataFrame:
+    return contexts.withColumn(
         "found_alt_in_context",
         extraction.alt_in_context(F.col("alt_text"), F.col("context_before"), F.col("context_after")),
     )
 
 
+def doc_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contexts of both crawls, and whether their alt text occurs in them."""
+    return _with_found(_doc_contexts(spark, sf_dir))
+
+
 def stored_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deduplicated document contexts, written as the context table."""
+    """Deduplicated document contexts, written as the context table.
+
+    Alt texts are looked for in the rows that stay: which ones stay does not depend on it.
+    """
 
     def build():
-        return store.to_context_rows(store.dedup_contexts(doc_contexts(spark, sf_dir)), "training")
+        kept = store.dedup_contexts(_doc_contexts(spark, sf_dir))
+        return store.to_context_rows(_with_found(kept), "training")
 
     return written(spark, sf_dir, "contexts", build)
 
