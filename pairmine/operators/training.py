@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from pairmine import settings
 from pairmine.functions import spans
-from pairmine.operators import prediction
 from pairmine.operators.vocabulary import IMG_ID, PAD_ID
 from pairmine.schemas import METRIC_HISTORY
 
@@ -37,6 +36,10 @@ _WEIGHTS = "head string, place int, weight double"
 _HEADS = ("start", "end")
 _SUMS = "run string, gradient array<double>, loss double, examples long"
 _CHUNK = 512
+_SCORED = (
+    "run string, start_token int, end_token int, true_start_token int, true_end_token int, "
+    "start_loss double, end_loss double"
+)
 
 # Metrics of which the largest value is the best.
 HIGHER_IS_BETTER = {"val_iou", "val_exact_match"}
@@ -216,20 +219,54 @@ def _scorer(weights: np.ndarray, buckets: int) -> Callable:
 
 def evaluate(model: PointerModel, examples: DataFrame, max_len: int) -> dict[str, float]:
     """Loss, exact match and overlap of padded, labelled examples: one job, one row."""
-    scored = prediction.best_positions(
-        prediction.predict_logits(examples, model.make_predict_fn(), max_len)
-    )
-    loss = (
-        spans.cross_entropy(F.col("start_logits"), F.col("true_start_token"))
-        + spans.cross_entropy(F.col("end_logits"), F.col("true_end_token"))
-    ) / 2
+    return evaluate_all({"": model}, examples, max_len)[""]
+
+
+def evaluate_all(models: dict[str, PointerModel], examples: DataFrame, max_len: int) -> dict[str, dict[str, float]]:
+    """The same for each of several models in one pass.  Logits stay in the task; what leaves it are positions and losses."""
+    makers = {name: model.make_predict_fn() for name, model in models.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorers = {name: make() for name, make in makers.items()}
+        for batch in batches:
+            for low in range(0, batch.num_rows, _CHUNK):
+                part = batch.slice(low, _CHUNK)
+                ids, mask = (part.column(k).flatten().to_numpy(zero_copy_only=False).reshape(-1, max_len) for k in (0, 1))
+                for name, score in scorers.items():
+                    logits = score(ids, mask)
+                    start, end = logits["start_logits"], logits["end_logits"]
+                    columns = [
+                        pa.array([name] * len(ids), pa.string()),
+                        pa.array(start.argmax(axis=1), pa.int32()),
+                        pa.array(end.argmax(axis=1), pa.int32()),
+                        part.column(2),
+                        part.column(3),
+                        _cross_entropies(start, part.column(2)),
+                        _cross_entropies(end, part.column(3)),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=_SCORED.replace(",", "").split()[::2])
+
+    places = [F.col(c).cast("int") for c in ("true_start_token", "true_end_token")]
+    scored = examples.select("input_ids", "attention_mask", *places).mapInArrow(run, _SCORED)
     columns = [F.col(c) for c in ("start_token", "end_token", "true_start_token", "true_end_token")]
-    row = scored.agg(
-        F.coalesce(F.avg(loss), F.lit(0.0)).alias("loss"),
+    rows = scored.groupBy("run").agg(
+        F.coalesce(F.avg((F.col("start_loss") + F.col("end_loss")) / 2), F.lit(0.0)).alias("loss"),
         F.coalesce(F.avg(spans.is_exact_match(*columns).cast("double")), F.lit(0.0)).alias("exact_match"),
         F.coalesce(F.avg(spans.span_iou(*columns)), F.lit(0.0)).alias("iou"),
-    ).first()
-    return row.asDict()
+    )
+    found = {r["run"]: {k: v for k, v in r.asDict().items() if k != "run"} for r in rows.collect()}  # one row per run
+    return {name: found.get(name, {"loss": 0.0, "exact_match": 0.0, "iou": 0.0}) for name in models}
+
+
+def _cross_entropies(logits: np.ndarray, targets: pa.Array) -> pa.Array:
+    """Negative log softmax at the targets; null where there is no such position."""
+    wide = logits.astype(np.float64)
+    top = wide.max(axis=1)
+    totals = top + np.log(np.exp(wide - top[:, None]).sum(axis=1))
+    place = targets.fill_null(-1).to_numpy(zero_copy_only=False)
+    known = (place >= 0) & (place < wide.shape[1])
+    chosen = wide[np.arange(len(wide)), np.where(known, place, 0)]
+    return pa.array(totals - chosen, pa.float64(), mask=~known)
 
 
 def train_span_model(
@@ -270,14 +307,16 @@ def train_span_model(
                 losses[name][1] += count
                 if count:
                     movers[name].step(gradient / count + penalties[name] * movers[name].weights)
+        if validation is not None:
+            used = {name: movers[name].weights for name in active}
+            models = {name: PointerModel(weights, buckets, max_len) for name, weights in used.items()}
+            found = evaluate_all(models, validation, max_len)
         for name in list(active):
             loss, count = losses[name]
             values = {"loss": loss / max(1, count)}
             weights = used[name]
             if validation is not None:
-                weights = movers[name].weights
-                found = evaluate(PointerModel(weights, buckets, max_len), validation, max_len)
-                values |= {f"val_{k}": v for k, v in found.items()}
+                values |= {f"val_{k}": v for k, v in found[name].items()}
             rows += [(name, epoch, k, float(v)) for k, v in values.items()]
             cost = sign * values[metric]
             if name not in best or cost < best[name][0]:

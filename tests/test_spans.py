@@ -204,3 +204,21 @@ def test_scorer_agrees_with_the_features(spark):
         own = sum(weights[0][f] for f in features)
         assert row.start_logits[: len(tokens)] == pytest.approx(own.tolist(), abs=1e-4)
         assert set(row.start_logits[len(tokens):]) <= {-10_000.0}
+
+
+def test_runs_are_evaluated_in_one_pass(spark):
+    rng = np.random.default_rng(5)
+    rows = [([2, 7, 4, 9, 3] + [0] * 3, [1] * 5 + [0] * 3, s, e) for s, e in ((2, 3), (0, 4), (None, 3), (3, 9))]
+    df = spark.createDataFrame(rows, "input_ids array<int>, attention_mask array<int>, true_start_token int, true_end_token int")
+    models = {n: training.PointerModel(rng.normal(size=(2, training.weight_count(32))), 32, 8) for n in ("a", "b")}
+    got = training.evaluate_all(models, df, 8)
+    for name, model in models.items():
+        assert got[name] == training.evaluate(model, df, 8)
+        scored = prediction.best_positions(prediction.predict_logits(df, model.make_predict_fn(), 8))
+        loss = (spans.cross_entropy(F.col("start_logits"), F.col("true_start_token")) + spans.cross_entropy(F.col("end_logits"), F.col("true_end_token"))) / 2
+        columns = [F.col(c) for c in ("start_token", "end_token", "true_start_token", "true_end_token")]
+        row = scored.agg(
+            F.avg(loss).alias("loss"), F.avg(spans.is_exact_match(*columns).cast("double")).alias("exact_match"), F.avg(spans.span_iou(*columns)).alias("iou")
+        ).first()
+        assert all(abs(got[name][k] - row[k]) < 1e-9 for k in ("loss", "exact_match", "iou"))
+    assert training.evaluate(models["a"], df.limit(0), 8) == {"loss": 0.0, "exact_match": 0.0, "iou": 0.0}

@@ -339,7 +339,8 @@ def train_val_split(spark, sf):
 
 def _examples(spark, sf):
     padded = encoding.training_examples(ad.encoded_texts(spark, sf), ad.MAX_LEN)
-    return split.train_validation_split(padded, "context_id", 0.2)
+    needed = ["context_id", "sequence", "input_ids", "attention_mask", "true_start_token", "true_end_token"]
+    return split.train_validation_split(padded.select(*needed), "context_id", 0.2)
 
 
 def train_span_model(spark, sf):
