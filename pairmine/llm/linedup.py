@@ -11,13 +11,16 @@ Equal sets are one row from the start, however often they occur.  The words of a
 are ordered by rarity, taken from word counts in a fixed number of hash buckets (any
 fixed order is exact, a rare first word only makes it fast).  Two similar sets share a
 word of their prefixes, so the prefixes are joined on the word; length, position and a
-parity bitmap of the set drop nearly all other pairs inside that join.  It is a semi
-join: it yields the sets that have a partner at all, never pairs.  For those sets a
-second semi join compares all words with the sets that come earlier.
+parity bitmap of the set drop nearly all other pairs inside that join, and a pair meets
+at the first of a row of common words only.  It is a semi join: it yields the sets that
+have a partner at all, never pairs.  For those sets a second semi join compares all
+words with the sets that come earlier.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +37,10 @@ _OTHER_GAPS = "[\\t\\x0b\\x0c\\r]"
 
 
 def _long_enough(line: Column, min_words: int) -> Column:
+    if min_words <= 1:
+        return F.ltrim(line, F.lit(" \t\x0b\x0c\r")) != ""
     gap = r" \t\x0b\x0c\r"
-    more = f"(?:[^{gap}]++[{gap}]++){{{min_words - 1}}}" if min_words > 1 else ""
-    return line.rlike(f"^[{gap}]*+{more}[^{gap}]")
+    return line.rlike(f"^[{gap}]*+(?:[^{gap}]++[{gap}]++){{{min_words - 1}}}[^{gap}]")
 
 
 def _words(line: Column) -> Column:
@@ -49,18 +53,39 @@ def _words(line: Column) -> Column:
     return F.split(blanks, " ")
 
 
+#: Classes of rarity; the first ones hold equal numbers of buckets.
+_CLASSES = 64
+_EVEN = 48
+
+
+def _rank_classes(counts: list[int]) -> list[int]:
+    """Class of each bucket, below 0 for half of the classes.
+
+    Buckets with much the same counts, as all have in a corpus of many words, are told
+    apart by rank.  Those of the last even class are, by powers of two of their count.
+    """
+    ranked = sorted(counts)
+    top = max(1, ranked[(_EVEN - 1) * len(ranked) // _EVEN])
+    classes = []
+    for n in counts:
+        even = bisect_left(ranked, n) * _EVEN // len(ranked)
+        high = min(_CLASSES - 1, even + (n // top).bit_length())
+        classes.append((high if n >= top else even) - _CLASSES // 2)
+    return classes
+
+
 def _rarity(docs: DataFrame) -> str:
     """Class of each bucket of word hashes, by the words counted in it."""
     counted = (
-        docs.select(F.explode(_words(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))).alias("w"))
+        docs.select(F.explode(F.split("text", "[ \\n\\t\\x0b\\x0c\\r]")).alias("w"))
         .filter("w <> ''")
         .groupBy(F.expr(f"cast(xxhash64(w) & {_BUCKETS - 1}L as int)").alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    classes = ["0"] * _BUCKETS
+    counts = [0] * _BUCKETS
     for row in counted.collect():  # one row per bucket
-        classes[row["bucket"]] = str(min(31, row["n"].bit_length()))
-    return ",".join(classes)
+        counts[row["bucket"]] = row["n"]
+    return ",".join(map(str, _rank_classes(counts)))
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
@@ -73,8 +98,18 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     return split.filter(_long_enough(F.col("line"), min_words))
 
 
-def _sets(lines: DataFrame, classes: str) -> DataFrame:
-    """Adds ``r``, the distinct words as numbers, rarest first."""
+def _lines_at(docs: DataFrame, holders: DataFrame) -> DataFrame:
+    """(doc_id, rid, line_no, line, more) of the lines that ``items`` of (line_no, more) name."""
+    keyed = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
+    same = (keyed["rid"] == holders["rid"]) & keyed["doc_id"].eqNullSafe(holders["doc_id"])
+    # A text is split once, below the generator.
+    split = keyed.join(holders, same).select(keyed["doc_id"], keyed["rid"], F.split("text", "\n").alias("lines"), "items")
+    named = split.select("doc_id", "rid", "lines", F.inline("items"))
+    return named.withColumn("line", F.expr("get(lines, line_no)")).drop("lines")
+
+
+def _sets(lines: DataFrame, classes: str, *more: str) -> DataFrame:
+    """(doc_id, rid, line_no, r, more): ``r`` has the distinct words as numbers, rarest first."""
     hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))
     words = lines.withColumn("h", F.array_remove(hashes, F.xxhash64(F.lit(""))))
     number = (
@@ -82,9 +117,9 @@ def _sets(lines: DataFrame, classes: str) -> DataFrame:
         f"cast(x & {_BUCKETS - 1}L as int)), 0Y) as bigint), 58) | shiftrightunsigned(x, 6))"
     )
     # Without nulls and in front of the generator, the numbers are sorted by generated code.
-    ordered = words.select("doc_id", "rid", "line_no", F.sort_array(F.expr(number)).alias("ordered"))
+    ordered = words.select("doc_id", "rid", "line_no", F.sort_array(F.expr(number)).alias("ordered"), *more)
     # A generator keeps the numbers from being computed once per use.
-    return ordered.select("doc_id", "rid", "line_no", F.explode(F.array("ordered")).alias("r"))
+    return ordered.select("doc_id", "rid", "line_no", F.explode(F.array("ordered")).alias("r"), *more)
 
 
 #: The prefixes are joined on 32 bits of a word; equal bits of other words lose nothing.
@@ -103,32 +138,37 @@ _SHORT_SET = 100
 def _parity() -> list[Column]:
     """``s0`` and ``s1``: parity bits of the words.
 
-    A long set has 64 bits for each half of the hash range; a short one has 64 for all
-    words, which is what the two halves of a long one give together.
+    ``s0`` has 64 bits for all words; ``s1``, of long sets only, those of the words in
+    the upper half of the hash range, so both give 64 bits for each half.
     """
-
-    def bits(word: str) -> str:
-        return f"aggregate(r, 0L, (s, x) -> s ^ {word})"
-
     bit = "shiftleft(1L, cast(x & 63L as int))"
-    low, high = (bits(f"if((x & 64L) = {64 * half}L, {bit}, 0L)") for half in (0, 1))
-    short = f"size(r) <= {_SHORT_SET}"
+    high = f"aggregate(r, 0L, (s, x) -> s ^ if((x & 64L) = 64L, {bit}, 0L))"
     return [
-        F.expr(f"if({short}, {bits(bit)}, {low})").alias("s0"),
-        F.expr(f"if({short}, 0L, {high})").alias("s1"),
+        F.expr(f"aggregate(r, 0L, (s, x) -> s ^ {bit})").alias("s0"),
+        F.expr(f"if(size(r) <= {_SHORT_SET}, 0L, {high})").alias("s1"),
     ]
 
 
-#: Least common words of two similar sets.
-_OVERLAP = f"(({NUMERATOR} * (l.n + e.n) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR})"
-#: What similar sets meet: length filter, positional filter, bitmap filter.
-_LENGTHS = (
-    f"l.token = e.token and {DENOMINATOR} * l.n >= {NUMERATOR} * e.n and {DENOMINATOR} * e.n >= {NUMERATOR} * l.n"
-)
-_POSSIBLE = f"{_LENGTHS} and least(l.n - l.pos, e.n - e.pos) >= {_OVERLAP}"
-_BITMAPS = f"""if((l.n <= {_SHORT_SET}) = (e.n <= {_SHORT_SET}),
-    bit_count(l.s0 ^ e.s0) + bit_count(l.s1 ^ e.s1),
-    bit_count(l.s0 ^ l.s1 ^ e.s0 ^ e.s1)) <= l.n + e.n - 2 * {_OVERLAP}"""
+def _overlap(l_n: str, e_n: str) -> str:
+    """Least common words of two similar sets."""
+    return f"(({NUMERATOR} * ({l_n} + {e_n}) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR})"
+
+
+def _differences(l_n: str, e_n: str) -> str:
+    """Most words that only one of two similar sets has, times ``NUMERATOR + DENOMINATOR``."""
+    return f"{DENOMINATOR - NUMERATOR} * ({l_n} + {e_n})"
+
+
+def _lengths(l_n: str, e_n: str) -> str:
+    """Length filter."""
+    return f"{DENOMINATOR} * {l_n} >= {NUMERATOR} * {e_n} and {DENOMINATOR} * {e_n} >= {NUMERATOR} * {l_n}"
+
+
+def _bitmaps(l_n: str, e_n: str) -> str:
+    """Bitmap filter."""
+    return f"""if(({l_n} <= {_SHORT_SET}) = ({e_n} <= {_SHORT_SET}),
+        bit_count(l.s0 ^ l.s1 ^ e.s0 ^ e.s1) + bit_count(l.s1 ^ e.s1),
+        bit_count(l.s0 ^ e.s0)) * {NUMERATOR + DENOMINATOR} <= {_differences(l_n, e_n)}"""
 
 
 def _semi(rows: DataFrame, condition: str) -> DataFrame:
@@ -136,6 +176,45 @@ def _semi(rows: DataFrame, condition: str) -> DataFrame:
     return rows.alias("l").hint("merge").join(rows.alias("e"), F.expr(condition), "left_semi")
 
 
+def _tokens(sets: DataFrame) -> DataFrame:
+    """A row for each word of the prefixes, as few bytes as the join needs.
+
+    ``words`` is the word and the one before it, ``sizes`` the size of the set and the
+    place of the word there, two numbers of 32 bits each.  A set of so few words that
+    only equal ones are similar has no row.
+    """
+    able = sets.filter(f"{DENOMINATOR - NUMERATOR} * n >= {NUMERATOR}")
+    placed = able.select(F.xxhash64("at").alias("place"), "s0", "s1", "n", "p")
+    number = {
+        "s0": "s0",
+        "words": "shiftleft(cast(token as bigint), 32) | (coalesce(get(p, pos - 1), 0) & 4294967295L)",
+        "sizes": "shiftleft(cast(n as bigint), 32) | pos",
+        "s1": "s1",
+    }
+    # None is null; where Spark knows, it compares without looking.
+    sure = [F.expr(f"coalesce({value}, 0L)").alias(name) for name, value in number.items()]
+    return placed.select("*", F.posexplode("p").alias("pos", "token")).select("place", *sure)
+
+
+def _shared(tokens: DataFrame) -> DataFrame:
+    """(place, token): words that a set shares with a possible partner.
+
+    A pair meets at its first common word, where all words before are differences.  If
+    the word before is the same, too, that is at an earlier one, under the same filters.
+    """
+    token = "shiftrightunsigned({}.words, 32)"
+    l_n, e_n = "shiftright(l.sizes, 32)", "shiftright(e.sizes, 32)"
+    l_pos, e_pos = "(l.sizes & 4294967295L)", "(e.sizes & 4294967295L)"
+    possible = f"""{token.format("l")} = {token.format("e")}
+        and {NUMERATOR + DENOMINATOR} * ({l_pos} + {e_pos}) <= {_differences(l_n, e_n)}
+        and {_lengths(l_n, e_n)}
+        and {NUMERATOR + DENOMINATOR} * least({l_n} - {l_pos}, {e_n} - {e_pos}) >= {NUMERATOR} * ({l_n} + {e_n})
+        and (l.words <> e.words or {l_pos} = 0 or {e_pos} = 0)
+        and (l.place <> e.place or l.s0 <> e.s0 or l.s1 <> e.s1)
+        and {_bitmaps(l_n, e_n)}"""
+    return _semi(tokens, possible).select("place", F.expr("cast(shiftright(words, 32) as int)").alias("token"))
+
+
 def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, rid, kept): per document, the numbers of its lines of enough words that stay.
 
@@ -146,46 +225,39 @@ def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     classes = _rarity(docs)
+    at = F.struct("doc_id", "rid", "line_no")
     described = _sets(_lines(docs, min_words), classes).select(
         F.xxhash64("r").alias("k1"),
-        F.xxhash64(F.lit(1), "r").alias("k2"),
-        F.struct("doc_id", "rid", "line_no").alias("at"),
+        *_parity(),
+        at.alias("at"),
         F.size("r").alias("n"),
         F.expr(f"transform(slice(r, 1, {_prefix('size(r)')}), x -> {_SHORT})").alias("p"),
-        *_parity(),
     )
-    firsts = [F.first(c).alias(c) for c in ("n", "p", "s0", "s1")]
-    sets = stage(described.groupBy("k1", "k2").agg(F.min("at").alias("at"), *firsts), "line-sets")
+    firsts = [F.first(c).alias(c) for c in ("n", "p")]
+    sets = stage(described.groupBy("k1", "s0", "s1").agg(F.min("at").alias("at"), *firsts), "line-sets")
     release(spark)
-    # Of the key, half is enough here: equal halves only add a set to those compared in full.
-    # In this order both sides of the join are one plan, and its shuffle is made once.
-    tokens = sets.select("k1", "n", "s0", "s1", F.posexplode("p").alias("pos", "token"))
-    other = "(l.k1 <> e.k1 or l.s0 <> e.s0 or l.s1 <> e.s1)"
-    # Words that a set shares with a possible partner.
-    shared = stage(_semi(tokens, f"{_POSSIBLE} and {other} and {_BITMAPS}").select("k1", "token"), "line-shared")
+    # Both sides of the join are one plan, and its shuffle is made once.
+    shared = stage(_shared(_tokens(sets)), "line-shared")
     release(spark)
-    maybe = sets.select("k1", "k2", "at").join(shared.select("k1").distinct(), "k1", "left_semi")
-    places = sized(maybe.select("k1", "k2", F.xxhash64("at").alias("place"), "at"), "line-places")
-    holders = sized(maybe.select(F.col("at.rid").alias("rid")).distinct(), "line-holders")
-    held = docs.withColumn("rid", F.xxhash64(F.col("doc_id"), "text")).join(holders, "rid", "left_semi").drop("rid")
-    lines = _lines(held, min_words).withColumn("place", F.xxhash64(F.struct("doc_id", "rid", "line_no")))
-    found = lines.join(places, "place").filter(F.col("at") == F.struct("doc_id", "rid", "line_no"))
-    full = _sets(found.select("doc_id", "rid", "line_no", "line"), classes).select(
-        F.xxhash64("r").alias("k1"),
-        F.xxhash64(F.lit(1), "r").alias("k2"),
-        F.struct("doc_id", "rid", "line_no").alias("at"),
-        "r",
-        F.size("r").alias("n"),
-        *_parity(),
-    )
-    keyed = stage(full, "line-words").join(shared.distinct(), "k1")
+    # A set goes by the hash of its first line's place.  Should another set's have the
+    # same, it is compared as well.
+    tokens = sized(shared.groupBy("place").agg(F.collect_set("token").alias("tokens")), "line-places", "tokens")
+    maybe = sets.select(F.xxhash64("at").alias("place"), "at.*").join(tokens, "place")
+    items = F.collect_list(F.struct("line_no", "tokens")).alias("items")
+    holders = sized(maybe.groupBy("doc_id", "rid").agg(items), "line-holders", "items")
+    full = _sets(_lines_at(docs, holders), classes, "tokens").select(at.alias("at"), "r", F.size("r").alias("n"), *_parity(), "tokens")
+    keyed = stage(full, "line-words").select("at", "r", "n", "s0", "s1", F.explode("tokens").alias("token"))
     # Both sides need the same columns, so this shuffle is made once, too.
-    earlier = f"{_LENGTHS} and e.at < l.at and (l.k1 <> e.k1 or l.k2 <> e.k2) and {_BITMAPS}"
-    same = f"size(array_intersect(l.r, e.r)) >= {_OVERLAP}"
-    later = stage(_semi(keyed, f"{earlier} and {same}").select("k1", "k2").distinct(), "line-later")
+    earlier = f"l.token = e.token and e.at < l.at and {_lengths('l.n', 'e.n')} and {_bitmaps('l.n', 'e.n')}"
+    same = f"size(array_intersect(l.r, e.r)) >= {_overlap('l.n', 'e.n')}"
+    later = stage(_semi(keyed, f"{earlier} and {same}").select("at"), "line-later")
     release(spark)
-    first = sets.select("k1", "k2", "at").join(later, ["k1", "k2"], "left_anti")
-    return first.groupBy("at.doc_id", "at.rid").agg(F.collect_list("at.line_no").alias("kept"))
+    # What goes is listed as the numbers below 0.
+    places = ("at.doc_id", "at.rid")
+    listed = sets.select(*places, "at.line_no").union(later.select(*places, F.expr("-1 - at.line_no")))
+    by_doc = listed.groupBy("doc_id", "rid").agg(F.collect_list("line_no").alias("all"))
+    kept = by_doc.withColumn("kept", F.expr("filter(array_except(all, transform(all, x -> -1 - x)), x -> x >= 0)"))
+    return kept.filter(F.size("kept") > 0).drop("all")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

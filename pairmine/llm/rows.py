@@ -13,10 +13,14 @@ from pairmine.session import stage
 BROADCAST_ROWS = 1_000_000
 
 
-def sized(facts: DataFrame, name: str) -> DataFrame:
-    """The facts, written once; marked for broadcast if they are counted as few."""
+def sized(facts: DataFrame, name: str, items: str | None = None) -> DataFrame:
+    """The facts, written once; marked for broadcast if they are counted as few.
+
+    With ``items``, an array, its elements are counted instead of the rows.
+    """
     held = stage(facts, name)
-    return F.broadcast(held) if held.count() <= BROADCAST_ROWS else held.hint("merge")
+    few = held.count() if items is None else held.agg(F.sum(F.size(items))).first()[0] or 0
+    return F.broadcast(held) if few <= BROADCAST_ROWS else held.hint("merge")
 
 
 def drop_rows(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
